@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pareto_mixing, ring_sharding
+from . import pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_pareto_mixing": pareto_mixing.op3_pareto_mixing,
         "op4_ring_sharding": ring_sharding.op4_ring_sharding,
+        "op5_rule_cascade": rule_cascade.op5_rule_cascade,
+        "op8_simhash_neardup": simhash_neardup.op8_simhash_neardup,
     }
 
 
