@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
+from . import ftrl_quality, language_id, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_ftrl_quality": ftrl_quality.op1_ftrl_quality,
         "op3_pareto_mixing": pareto_mixing.op3_pareto_mixing,
         "op4_ring_sharding": ring_sharding.op4_ring_sharding,
         "op5_rule_cascade": rule_cascade.op5_rule_cascade,
+        "op7_language_id": language_id.op7_language_id,
         "op8_simhash_neardup": simhash_neardup.op8_simhash_neardup,
     }
 
