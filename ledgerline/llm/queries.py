@@ -6,19 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ftrl_quality, language_id, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
+from . import benchmark_decontam, ftrl_quality, language_id, license_scan, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_ftrl_quality": ftrl_quality.op1_ftrl_quality,
+        "op2_benchmark_decontam": benchmark_decontam.op2_benchmark_decontam,
         "op3_pareto_mixing": pareto_mixing.op3_pareto_mixing,
         "op4_ring_sharding": ring_sharding.op4_ring_sharding,
         "op5_rule_cascade": rule_cascade.op5_rule_cascade,
         "op7_language_id": language_id.op7_language_id,
         "op8_simhash_neardup": simhash_neardup.op8_simhash_neardup,
+        "op9_license_scan": license_scan.op9_license_scan,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_pareto_mixing": pareto_mixing.ORACLE_OP3}
+    return {
+        "op2_benchmark_decontam": benchmark_decontam.ORACLE_OP2,
+        "op3_pareto_mixing": pareto_mixing.ORACLE_OP3,
+        "op9_license_scan": license_scan.ORACLE_OP9,
+    }
