@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import shipped
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
 
 
 def register(name: str, oracle: str | None = None) -> Callable:
     def wrap(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        _QUERIES[name] = f
+        _QUERIES[name] = shipped(f)
         if oracle:
             _ORACLES[name] = oracle
         return f
