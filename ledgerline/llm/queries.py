@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import benchmark_decontam, ftrl_quality, language_id, license_scan, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup
+from ..session import shipped
+from . import benchmark_decontam, ftrl_quality, language_id, license_scan, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup, suffix_tree_lm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "op1_ftrl_quality": ftrl_quality.op1_ftrl_quality,
         "op2_benchmark_decontam": benchmark_decontam.op2_benchmark_decontam,
         "op3_pareto_mixing": pareto_mixing.op3_pareto_mixing,
@@ -19,7 +20,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": language_id.op7_language_id,
         "op8_simhash_neardup": simhash_neardup.op8_simhash_neardup,
         "op9_license_scan": license_scan.op9_license_scan,
+        "op10_suffix_tree_lm": suffix_tree_lm.op10_suffix_tree_lm,
     }
+    return {name: shipped(f) for name, f in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
