@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import shipped
-from . import benchmark_decontam, ftrl_quality, language_id, license_scan, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup, suffix_tree_lm
+from . import benchmark_decontam, dom_extraction, ftrl_quality, language_id, license_scan, pareto_mixing, ring_sharding, rule_cascade, simhash_neardup, suffix_tree_lm
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_pareto_mixing": pareto_mixing.op3_pareto_mixing,
         "op4_ring_sharding": ring_sharding.op4_ring_sharding,
         "op5_rule_cascade": rule_cascade.op5_rule_cascade,
+        "op6_dom_extraction": dom_extraction.op6_dom_extraction,
         "op7_language_id": language_id.op7_language_id,
         "op8_simhash_neardup": simhash_neardup.op8_simhash_neardup,
         "op9_license_scan": license_scan.op9_license_scan,
