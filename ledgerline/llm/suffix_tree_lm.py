@@ -30,6 +30,7 @@ from math import log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,8 @@ MIN_KL, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.5
 END = b"\n"  # no word has this byte
 FLUSH = 300_000  # distinct words that a task counts before it hands them on
-CHUNK = 1 << 21  # symbols that a task handles at once
+PART = 1 << 18  # symbols that a task handles at once, but for a longer text
+CHUNK = 1 << 21  # sequences that a task counts before it hands them on
 
 
 def vocabulary(docs: DataFrame) -> DataFrame:
@@ -127,6 +129,17 @@ def follow(levels: list[Grams], words: int, ids: np.ndarray, inner: np.ndarray)
     return out
 
 
+def _slices(b: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about PART symbols, so that arrays over all symbols stay small."""
+    sizes = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)) // 4
+    first = 0
+    while first < b.num_rows:
+        before = sizes[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(sizes, before + PART, side="right")))
+        yield b.slice(first, end - first)
+        first = end
+
+
 def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all texts of a column, each between two ends, and where the texts begin."""
     parts = [np.frombuffer(x, np.int32) for x in column.to_pylist()]
@@ -147,7 +160,7 @@ def sequences(encoded: DataFrame, tree: Tree, least: float) -> tuple[np.ndarray,
             waiting.clear()
             return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
 
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole, 0)):
             ids, starts = _texts(b.column(0))
             inner = np.ones(len(ids), bool)
             inner[starts] = False
@@ -257,7 +270,7 @@ def scores(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     tree = spark.sparkContext.broadcast(grow(encoded, root, counts, words))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole, whole.num_columns - 1)):
             ids, starts = _texts(b.column(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(beyond_root(tree.value, ids, starts))], names=[*b.schema.names[:-1], "beyond"])
 
