@@ -68,8 +68,9 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOL
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    bad = Staged(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("c_id"), F.col("text_hash").alias("c_hash")).distinct(), "contaminated").df
-    return docs.join(sized(bad, BROADCAST_DOCS), F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.xxhash64("text") == F.col("c_hash")), "left_anti")
+    bad = Staged(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(), "contaminated").df
+    bad = sized(bad, BROADCAST_DOCS)
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]) & (F.xxhash64(docs["text"]) == bad["__bad_hash"]), "left_anti")
 
 
 def op2_benchmark_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -124,14 +124,14 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = found.df.join(by_fp, "fp").select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))).alias("keeps"))
     keys = rows.groupBy("doc_id", "text_hash", "keeps").agg(F.count("*").alias("n"))
     # one row a key, so that the join does not multiply; keys of a single row that stays are not listed
-    listed = Staged(keys.filter("NOT keeps OR n > 1").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash"), "keeps"), "simhash-listed").df
-    gone, _ = small_or_not(listed.select("k_id", "k_hash"), BROADCAST_IDS)
-    at = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.xxhash64("text") == F.col("k_hash"))
-    single = docs.join(gone, at, "left_anti")
-    repeated = listed.filter("keeps").select("k_id", "k_hash")
+    listed = Staged(keys.filter("NOT keeps OR n > 1").select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), "keeps"), "simhash-listed").df
+    gone, _ = small_or_not(listed.select("__gone_id", "__gone_hash"), BROADCAST_IDS)
+    at = lambda keys: docs["doc_id"].eqNullSafe(keys["__gone_id"]) & (F.xxhash64(docs["text"]) == keys["__gone_hash"])
+    single = docs.join(gone, at(gone), "left_anti")
+    repeated = listed.filter("keeps").select("__gone_id", "__gone_hash")
     if not repeated.head(1):
         return single
-    again = docs.join(repeated, at, "left_semi").withColumn("__hash", F.xxhash64("text")).dropDuplicates(["doc_id", "__hash"]).drop("__hash")
+    again = docs.join(repeated, at(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
     return single.unionByName(again)
 
 
