@@ -5,32 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from .session import shipped
-
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None) -> Callable:
-    def wrap(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        _QUERIES[name] = shipped(f)
-        if oracle:
-            _ORACLES[name] = oracle
-        return f
-
-    return wrap
+from . import plans  # noqa: F401 - registers the queries
+from .registry import ORACLES, QUERIES
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
-
-
-@register("classify_matches")
-def _classify_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/part.parquet").groupBy("p_type").agg(F.count("*").alias("n"))
+    return dict(ORACLES)
