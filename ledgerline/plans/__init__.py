@@ -1,3 +1,3 @@
 """The registered queries, by theme. Importing this package registers them."""
 
-from . import matching, selection, state, urls  # noqa: F401
+from . import evaluation, matching, profiles, search, selection, state, text, urls  # noqa: F401

@@ -24,21 +24,21 @@ def select_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("o_orderkey", "place")
 
 
-@register("""WITH r AS (SELECT l_orderkey, l_linenumber, l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS round FROM lineitem)
+@register("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) AS round FROM lineitem)
 SELECT *, row_number() OVER (PARTITION BY round ORDER BY l_suppkey) AS turn FROM r""")
 def round_robin(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of groups in turns."""
-    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice")
-    return selection.turns(x, "l_suppkey", [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber")], []).drop("l_extendedprice")
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return selection.turns(x, "l_suppkey", [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")], []).drop("l_extendedprice")
 
 
-@register("""WITH f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_quantity ORDER BY l_linenumber) AS a FROM lineitem),
-k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_shipdate DESC, l_linenumber) AS b FROM f WHERE a = 1)
+@register("""WITH f AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag, l_quantity ORDER BY l_linenumber, l_partkey, l_suppkey) AS a FROM lineitem),
+k AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY l_shipdate DESC, l_linenumber, l_partkey, l_suppkey) AS b FROM f WHERE a = 1)
 SELECT l_orderkey, l_linenumber, l_returnflag FROM k WHERE b <= 2""")
 def cap_per_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
     """At most two of a kind, repeats not counted."""
-    x = selection.keep_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag", "l_quantity"], [F.col("l_linenumber")])
-    return selection.capped(x, ["l_orderkey", "l_returnflag"], [F.desc("l_shipdate"), F.asc("l_linenumber")], 2).select("l_orderkey", "l_linenumber", "l_returnflag")
+    x = selection.keep_first(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_returnflag", "l_quantity"], [F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")])
+    return selection.capped(x, ["l_orderkey", "l_returnflag"], [F.desc("l_shipdate"), F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")], 2).select("l_orderkey", "l_linenumber", "l_returnflag")
 
 
 @register("""WITH n AS (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS n, count(*) OVER (PARTITION BY c_nationkey) AS a FROM customer)
