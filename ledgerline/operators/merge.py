@@ -32,8 +32,9 @@ def families(df: DataFrame, id_: str, words: str, same: list[str], variants: tup
     A part names its family: the words before its variants. So parts look their family up by equality; no prefix of
     anything is tried against everything."""
     is_variant = lambda w: w.isin(*variants)
-    stem = F.expr(f"filter({words}, (w, i) -> exists(slice({words}, i + 1, size({words})), v -> NOT v IN ({', '.join(repr(v) for v in variants)})))")
-    x = df.select(id_, *same, words, stem.alias("__stem"))
+    # the stem goes up to the last word that is no variant
+    last = F.array_max(F.transform(words, lambda w, i: F.when(~is_variant(w), i + 1).otherwise(0)))
+    x = df.select(id_, *same, words, F.slice(words, 1, F.coalesce(last, F.lit(0))).alias("__stem"))
     extra = F.slice(words, F.size("__stem") + 1, F.size(words))
     initials = lambda s: F.array_join(F.transform(s, lambda w: F.substring(w, 1, 1)), "")
     own = x.filter((F.size(words) >= 2) & ~F.exists(words, is_variant)).select(F.col(id_).alias("family"), *same, F.col(words).alias("__stem"))

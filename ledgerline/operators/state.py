@@ -48,7 +48,8 @@ def snapshot_merge(state: DataFrame, fresh: DataFrame, ran: DataFrame, now: Colu
 def change_log(merged: DataFrame, now: Column, by: str = "entity") -> DataFrame:
     """The rows that changed, in the order of the log: new, back, gone; by entity; by id."""
     rank = F.when(F.col("change") == "new", 0).when(F.col("change") == "back", 1).otherwise(2)
-    return merged.filter(F.col("change").isNotNull()).withColumn("at", now).orderBy(rank, F.coalesce(F.col(by), F.lit("~")) if by in merged.columns else F.lit(0), "id")
+    named = [F.coalesce(F.col(by), F.lit("~"))] if by in merged.columns else []
+    return merged.filter(F.col("change").isNotNull()).withColumn("at", now).orderBy(rank, *named, "id")
 
 
 def ran_feeds(results: DataFrame) -> DataFrame:
