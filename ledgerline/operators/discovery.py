@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 def examples(df: DataFrame, by: list[str], example: Column, order: list[Column], k: int = 3) -> DataFrame:
     """(by, n, examples): each group's size and its first k examples."""
-    w = Window.partitionBy(*by)
-    x = df.withColumns({"__n": F.row_number().over(w.orderBy(*order)), "__all": F.count("*").over(w), "__e": example}).filter(F.col("__n") <= k)
-    return x.groupBy(*by).agg(F.max("__all").alias("n"), F.transform(F.array_sort(F.collect_list(F.struct("__n", "__e"))), lambda s: s["__e"]).alias("examples"))
+    first = df.withColumn("__e", example).withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("__n") <= k)
+    shown = first.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("__n", "__e"))), lambda s: s["__e"]).alias("examples"))
+    return df.groupBy(*by).agg(F.count("*").alias("n")).join(shown, by)
 
 
 def mode(df: DataFrame, by: list[str], value: str) -> DataFrame:

@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def by_score(df: DataFrame, score: str, positive: str) -> DataFrame:
-    """(score, pos, neg) with the numbers of negatives below: pre-aggregated, so the running sum is over scores."""
-    g = df.groupBy(score).agg(F.count_if(F.col(positive)).alias("pos"), F.count_if(~F.col(positive)).alias("neg"))
-    below = F.sum("neg").over(Window.orderBy(score).rowsBetween(Window.unboundedPreceding, -1))
-    return g.withColumn("below", F.coalesce(below, F.lit(0)))
+#: Scores from 0 to 1 fall into so many bins; running sums are within a bin, and over the bins.
+BINS = 1 << 16
 
 
 def auc(df: DataFrame, score: str, positive: str) -> DataFrame:
-    """(n_pos, n_neg, auc): the share of pairs in order, half of the ties; null if a class is empty."""
-    g = by_score(df, score, positive).agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(F.col("pos") * (F.col("below") + F.col("neg") * 0.5)).alias("wins"))
-    return g.select("n_pos", "n_neg", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("wins") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
+    """(n_pos, n_neg, auc): the share of pairs in order, half of the ties; null if a class is empty.
+
+    Scores are counted first. The negatives below a score are those of lower bins (a sum over BINS rows) and those
+    below it in its bin (a sum within the bin), so no task sees all scores."""
+    g = df.groupBy(score).agg(F.count_if(F.col(positive)).alias("pos"), F.count_if(~F.col(positive)).alias("neg"))
+    g = g.withColumn("bin", F.least(F.floor(F.greatest(F.col(score), F.lit(0.0)) * BINS), F.lit(BINS - 1)))
+    inside = F.sum("neg").over(Window.partitionBy("bin").orderBy(score).rowsBetween(Window.unboundedPreceding, -1))
+    bins = g.groupBy("bin").agg(F.sum("neg").alias("bin_neg"))
+    lower = F.sum("bin_neg").over(Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    both = g.withColumn("inside", F.coalesce(inside, F.lit(0))).join(F.broadcast(bins.select("bin", F.coalesce(lower, F.lit(0)).alias("lower"))), "bin")
+    sums = both.agg(F.coalesce(F.sum("pos"), F.lit(0)).alias("n_pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("n_neg"), F.sum(F.col("pos") * (F.col("lower") + F.col("inside") + F.col("neg") * 0.5)).alias("wins"))
+    return sums.select("n_pos", "n_neg", F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("wins") / (F.col("n_pos") * F.col("n_neg"))).alias("auc"))
 
 
 def sweep(df: DataFrame, score: str, positive: str, steps: int = 20) -> DataFrame:

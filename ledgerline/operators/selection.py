@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +15,11 @@ def capped(df: DataFrame, by: list[str], order: list[Column], most: int) -> Data
 
 
 def keep_first(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key; rows with a null in the key are no repeats of each other."""
-    null = None
-    for c in by:
-        null = F.col(c).isNull() if null is None else null | F.col(c).isNull()
-    n = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-    return df.withColumn("__n", n).filter((F.col("__n") == 1) | null).drop("__n")
+    """The first row of each key; rows with a null in the key are no repeats of each other. The limit on row_number
+    alone is what lets Spark drop repeats before the shuffle, so the null keys go another way."""
+    null = reduce(or_, [F.col(c).isNull() for c in by])
+    first = df.filter(~null).withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("__n = 1").drop("__n")
+    return first.unionByName(df.filter(null))
 
 
 def turns(df: DataFrame, by: str, order: list[Column], priority: list[Column]) -> DataFrame:

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def pick(df: DataFrame, by: list[str], rank: list[Column]) -> DataFrame:
-    """The best row of each group by rank, with ``alternatives``, the number of others."""
-    w = Window.partitionBy(*by)
-    x = df.withColumns({"__n": F.row_number().over(w.orderBy(*rank)), "alternatives": F.count("*").over(w) - 1})
-    return x.filter("__n = 1").drop("__n")
+    """The best row of each group by rank, with ``alternatives``, the number of others. The row is found by a limit on
+    row_number, which Spark applies before the shuffle too, and the number by a count: no group is gathered whole."""
+    best = df.withColumn("__n", F.row_number().over(Window.partitionBy(*by).orderBy(*rank))).filter("__n = 1").drop("__n")
+    return _with_count(best, df, by)
+
+
+def _with_count(best: DataFrame, df: DataFrame, by: list[str]) -> DataFrame:
+    n = df.groupBy(*[F.col(c).alias(f"__{c}") for c in by]).agg((F.count("*") - 1).alias("alternatives"))
+    same = [best[c].eqNullSafe(n[f"__{c}"]) for c in by]
+    return best.join(n, reduce(and_, same)).drop(*[f"__{c}" for c in by])
 
 
 def current_cycle(df: DataFrame, entity: str, cycle: str) -> DataFrame:
-    return df.withColumn("current", F.max(cycle).over(Window.partitionBy(entity)))
+    """Rows with ``current``, the latest cycle of their entity."""
+    latest = df.groupBy(F.col(entity).alias("__entity")).agg(F.max(cycle).alias("current"))
+    return df.join(latest, df[entity].eqNullSafe(latest["__entity"])).drop("__entity")
 
 
 def carried(df: DataFrame, entity: str, field: str, cycle: str, value: str, rank: list[Column], per_cycle: tuple[str, ...]) -> DataFrame:
@@ -22,10 +33,8 @@ def carried(df: DataFrame, entity: str, field: str, cycle: str, value: str, rank
     ``carried_from``. The fields ``per_cycle`` are never carried over."""
     x = current_cycle(df, entity, cycle).filter(F.col(value).isNotNull())
     x = x.filter((F.col(cycle) == F.col("current")) | ~F.col(field).isin(*per_cycle))
-    w = Window.partitionBy(entity, field)
-    x = x.withColumn("__n", F.row_number().over(w.orderBy(F.desc(cycle), *rank)))
-    x = x.withColumn("alternatives", F.count("*").over(Window.partitionBy(entity, field, cycle)) - 1)
-    return x.filter("__n = 1").withColumn("carried_from", F.when(F.col(cycle) < F.col("current"), F.col(cycle))).drop("__n", "current")
+    best = x.withColumn("__n", F.row_number().over(Window.partitionBy(entity, field).orderBy(F.desc(cycle), *rank))).filter("__n = 1").drop("__n")
+    return _with_count(best, x, [entity, field, cycle]).withColumn("carried_from", F.when(F.col(cycle) < F.col("current"), F.col(cycle))).drop("current")
 
 
 def gaps(profile: DataFrame, entities: DataFrame, entity: str, field: str, expected: list[str]) -> DataFrame:
@@ -53,10 +62,9 @@ def adjudicate(df: DataFrame, by: list[str], *, granularity: str, hint: str, pag
 
 
 def first_known(df: DataFrame, by: list[str], values: list[str], rank: list[Column]) -> DataFrame:
-    """For each column the first value that is not null, in rank order."""
-    w = Window.partitionBy(*by).orderBy(*rank)
-    x = df.withColumn("__n", F.row_number().over(w))
-    return x.groupBy(*by).agg(*[F.min(F.when(F.col(v).isNotNull(), F.struct("__n", F.col(v).alias("v")))).getField("v").alias(v) for v in values])
+    """For each column the first value that is not null, in ascending rank order: one partial aggregation."""
+    keys = [r.alias(f"k{i}") for i, r in enumerate(rank)]
+    return df.groupBy(*by).agg(*[F.min(F.when(F.col(v).isNotNull(), F.struct(*keys, F.col(v).alias("v")))).getField("v").alias(v) for v in values])
 
 
 def agreement(left: DataFrame, right: DataFrame, key: list[str], values: list[str]) -> DataFrame:
