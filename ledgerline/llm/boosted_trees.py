@@ -15,7 +15,7 @@ class Boosted:
     softmax loss, Newton steps."""
 
     classes: int
-    rounds: int = 30
+    rounds: int = 40
     depth: int = 4
     rate: float = 0.25
     l2: float = 1.0
@@ -28,39 +28,61 @@ class Boosted:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Boosted:
         self.edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, BINS)[1:-1])) for f in range(x.shape[1])]
+        for f in np.flatnonzero(((x == 0) | (x == 1)).all(axis=0)):  # rare marks too
+            self.edges[f] = np.zeros(1)
         bins = self.binned(x).astype(np.int64)
+        binary = [f for f, e in enumerate(self.edges) if len(e) == 1]
+        marks = (bins[:, binary] > 0).astype(float)
         target = np.eye(self.classes)[y]
         self.start = np.log(target.mean(axis=0) + 1e-6)
         raw = np.tile(self.start, (len(x), 1))
         for _ in range(self.rounds):
             p = _softmax(raw)
             for k in range(self.classes):
-                tree = self._tree(bins, p[:, k] - target[:, k], p[:, k] * (1 - p[:, k]))
+                tree = self._tree(bins, binary, marks, p[:, k] - target[:, k], p[:, k] * (1 - p[:, k]))
                 self.trees.append((k, *tree))
                 raw[:, k] += tree[2][self._leaf(bins, tree)]
         return self
 
-    def _tree(self, bins: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _gain(self, gl: np.ndarray, hl: np.ndarray, ga: np.ndarray, ha: np.ndarray) -> np.ndarray:
+        gain = gl**2 / (hl + self.l2) + (ga - gl) ** 2 / (ha - hl + self.l2) - ga**2 / (ha + self.l2)
+        gain[(hl < 0.5) | (ha - hl < 0.5)] = 0
+        return gain
+
+    def _tree(self, bins: np.ndarray, binary: list[int], marks: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         inner = 2**self.depth - 1
         feature, above = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64)  # BINS: all rows go left
         node = np.zeros(len(g), np.int64)
+        rows = np.arange(len(g))
         for level in range(self.depth):
             n, first = 2**level, 2**level - 1
+            here = node - first
+            ga, ha = (np.bincount(here, w, n)[:, None] for w in (g, h))
             best = np.full(n, 1e-3)
-            for f in range(bins.shape[1]):
-                cell = (node - first) * BINS + bins[:, f]
-                sums = [np.bincount(cell, w, n * BINS).reshape(n, BINS) for w in (g, h)]
-                gl, hl = (s.cumsum(axis=1) for s in sums)
-                ga, ha = gl[:, -1:], hl[:, -1:]
-                gain = gl**2 / (hl + self.l2) + (ga - gl) ** 2 / (ha - hl + self.l2) - ga**2 / (ha + self.l2)
-                gain[(hl < 0.5) | (ha - hl < 0.5)] = 0
+
+            def better(gain: np.ndarray, f: np.ndarray, at: np.ndarray, best: np.ndarray = best, first: int = first, n: int = n) -> None:
+                wins = gain > best
+                best[wins] = gain[wins]
+                feature[first : first + n][wins] = f[wins]
+                above[first : first + n][wins] = at[wins]
+
+            if binary:  # sums of all marks at once: a product of matrices
+                split = []
+                for w, all_ in ((g, ga), (h, ha)):
+                    by_node = np.zeros((len(g), n))
+                    by_node[rows, here] = w
+                    split.append(all_ - by_node.T @ marks)
+                gain = self._gain(*split, ga, ha)
+                top = gain.argmax(axis=1)
+                better(gain[np.arange(n), top], np.array(binary)[top], np.zeros(n, np.int64))
+            for f, e in enumerate(self.edges):
+                if len(e) < 2:
+                    continue
+                gl, hl = (np.bincount(here * BINS + bins[:, f], w, n * BINS).reshape(n, BINS).cumsum(axis=1) for w in (g, h))
+                gain = self._gain(gl, hl, ga, ha)
                 at = gain.argmax(axis=1)
-                top = gain[np.arange(n), at]
-                better = top > best
-                best[better] = top[better]
-                feature[first : first + n][better] = f
-                above[first : first + n][better] = at[better]
-            node = 2 * node + 1 + (bins[np.arange(len(g)), feature[node]] > above[node])
+                better(gain[np.arange(n), at], np.full(n, f), at)
+            node = 2 * node + 1 + (bins[rows, feature[node]] > above[node])
         leaf = node - inner
         gs, hs = (np.bincount(leaf, w, inner + 1) for w in (g, h))
         return feature, above, -self.rate * gs / (hs + self.l2)

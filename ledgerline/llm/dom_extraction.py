@@ -29,9 +29,9 @@ from .boosted_trees import Boosted
 from .common import read
 from .dom import Node, parse
 
-PAGES, SEED = 800, 11
+PAGES, SEED = 1200, 11
 AT_ONCE = 400
-STEP_WEIGHT = 0.6  # under 1, since a node's features tell of its surroundings already
+STEP_WEIGHT = 0.5  # under 1, since a node's features tell of its surroundings already
 CONTAINER, KEEP, DROP = 0, 1, 2
 
 # Kinds of elements, and parts of names that authors give to regions of a page.
@@ -235,7 +235,7 @@ class Writer:
         for _ in range(r.choice([1, 1, 2, 3, 5, 8, 14, 30])):
             x = r.random()
             if x < 0.7:
-                text = self.sentences(1, 8)
+                text = self.sentences(1, 8) if r.random() < 0.85 else self.words(1, 2).capitalize() + "."
                 if self.sloppy and r.random() < 0.3:
                     parts.append(self.tag("p", "<b>" + text + "<br>", KEEP, close=False))
                 else:
