@@ -44,12 +44,18 @@ def shape(example: DataFrame, path: str = "path", kind: str = "kind", required_:
 
 
 def check_shape(facts: DataFrame, shape_: DataFrame, record: str = "record", path: str = "path", kind: str = "kind") -> DataFrame:
-    """(record, path, problem): unknown path, wrong kind, missing required path."""
-    s = F.broadcast(shape_.select(path, F.col(kind).alias("__kind"), F.col("required").alias("__required")))
-    there = facts.join(s, path, "left")
-    wrong = there.select(record, path, F.when(F.col("__kind").isNull(), "unknown key").when(F.col("__kind") != F.col(kind), "wrong kind").alias("problem")).filter("problem IS NOT NULL")
-    wanted = facts.select(record).distinct().join(s.filter("__required").select(path))
-    return wrong.unionByName(wanted.join(facts.select(record, path), [record, path], "left_anti").withColumn("problem", F.lit("missing")))
+    """(record, path, problem): unknown path, wrong kind, missing required path. The shape is a schema: it is read to
+    the driver, and what a record lacks is a difference of arrays."""
+    rows = shape_.select(path, kind, "required").collect()
+    if not rows:
+        return facts.select(record, path, F.lit("unknown key").alias("problem"))
+    kinds = F.create_map(*[F.lit(x) for r in rows for x in (r[path], r[kind])])
+    want = F.try_element_at(kinds, F.col(path))
+    wrong = facts.select(record, path, F.when(want.isNull(), "unknown key").when(want != F.col(kind), "wrong kind").alias("problem")).filter("problem IS NOT NULL")
+    needed = [r[path] for r in rows if r.required]
+    have = facts.groupBy(record).agg(F.collect_set(F.when(F.col(path).isin(*needed), F.col(path))).alias("have"))
+    lacking = F.explode(F.array_except(F.array(*[F.lit(p) for p in needed]).cast("array<string>"), "have"))
+    return wrong.unionByName(have.select(record, lacking.alias(path), F.lit("missing").alias("problem")))
 
 
 def coverage(parent: DataFrame, key: str, child: DataFrame, foreign: str) -> DataFrame:

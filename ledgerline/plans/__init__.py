@@ -1,3 +1,3 @@
 """The registered queries, by theme. Importing this package registers them."""
 
-from . import evaluation, matching, pages, profiles, search, selection, state, streams, text, urls  # noqa: F401
+from . import evaluation, filters, matching, pages, profiles, search, selection, state, streams, text, urls  # noqa: F401

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from ledgerline.session import local, ship
 
-    session = local(8, 4, "4g")
+    session = local(__import__("os").environ.get("TEST_CPUS", "8"), 4, "4g")
     ship(session)
     yield session
     session.stop()
