@@ -30,5 +30,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_benchmark_decontam": benchmark_decontam.ORACLE_OP2,
         "op3_pareto_mixing": pareto_mixing.ORACLE_OP3,
+        "op5_rule_cascade": rule_cascade.ORACLE_OP5,
         "op9_license_scan": license_scan.ORACLE_OP9,
     }

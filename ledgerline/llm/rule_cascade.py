@@ -170,4 +170,26 @@ def judge(docs: DataFrame, rules: list[str]) -> DataFrame:
 
 def op5_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return judge(docs, order(measure(spark, docs)))
+    return judge(docs, order(measure(spark, docs))).drop("rejected_by")  # which rule was first depends on the order
+
+
+ORACLE_OP5 = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+u AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM u QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+p AS (SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + 7)) AS k FROM r) GROUP BY doc_id),
+b AS (SELECT w.doc_id, w, t, lines, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+      CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN p ON p.doc_id = w.doc_id),
+f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed
+  OR 10 * n_symbols > n_words
+  OR n_dup_lines > 2 AND 10 * n_dup_lines > 3 * len(lines)
+  OR 5 * len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) > n_words
+  OR NOT word_chars BETWEEN 2 * n_words AND 15 * n_words
+  OR 2 * len(regexp_extract_all(t, '\\p{Lu}')) > len(regexp_extract_all(t, '[\\p{Lu}\\p{Ll}]')) AND len(regexp_extract_all(t, '[\\p{Lu}\\p{Ll}]')) > 0
+  OR 10 * len(list_filter(w, lambda x: ends_with(x, '!'))) > 3 * n_words
+  OR 2 * len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\\x00-\\x7F]'))) < n_words
+  OR 5 * list_max(map_values(list_histogram(w))) > 2 * n_words) AS kept
+FROM f
+"""
