@@ -116,11 +116,12 @@ def idf(df: DataFrame, words: str, key: str) -> DataFrame:
 def similar(left: DataFrame, right: DataFrame, weights: DataFrame, *, id_l: str, id_r: str, words: str, blocks: str, least: float = 0.45, top: int = 6, unknown: float = 8.0) -> DataFrame:
     """(id_l, id_r, share, common): rows of ``right`` that hold at least ``least`` of a left row's word weight, best
     first, ``top`` at most. Only rows that share a block are compared; words without a weight weigh ``unknown``."""
-    lw = left.select(id_l, F.explode(F.array_distinct(words)).alias("word")).join(weights.select("word", "idf"), "word", "left").select(id_l, "word", F.coalesce("idf", F.lit(unknown)).alias("w"))
+    lw = left.select(id_l, blocks, F.explode(F.array_distinct(words)).alias("word")).join(weights.select("word", "idf"), "word", "left").select(id_l, blocks, "word", F.coalesce("idf", F.lit(unknown)).alias("w"))
     mass = lw.groupBy(id_l).agg(F.sum("w").alias("mass"))
-    near = left.select(id_l, F.explode(F.array_distinct(blocks)).alias("block")).join(right.select(id_r, F.explode(F.array_distinct(blocks)).alias("block")), "block").select(id_l, id_r).distinct()
-    rw = right.select(id_r, F.explode(F.array_distinct(words)).alias("word"))
-    common = near.join(lw, id_l).join(rw, [id_r, "word"]).groupBy(id_l, id_r).agg(F.sum("w").alias("w"), F.count("*").alias("common"))
+    rw = right.select(id_r, F.explode(F.array_distinct(blocks)).alias("block"), words).select(id_r, "block", F.explode(F.array_distinct(words)).alias("word"))
+    # rows meet on a block and a word together, so rows of one block that share no word are never paired
+    met = lw.select(id_l, F.explode(F.array_distinct(blocks)).alias("block"), "word", "w").join(rw, ["block", "word"]).select(id_l, id_r, "word", "w").distinct()
+    common = met.groupBy(id_l, id_r).agg(F.sum("w").alias("w"), F.count("*").alias("common"))
     shares = common.join(mass, id_l).withColumn("share", F.col("w") / F.col("mass")).filter(F.col("share") >= least)
     order = Window.partitionBy(id_l).orderBy(F.desc("share"), id_r)
     return shares.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top).select(id_l, id_r, "share", "common", "place")

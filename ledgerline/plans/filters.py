@@ -48,24 +48,24 @@ def promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("c_custkey", filters.eligible(F.col("c_mktsegment"), F.col("c_name"), ("BUILDING", "MACHINERY")).alias("eligible"), filters.live(F.col("n"), [F.col("last_day")], F.lit("2001-08-01").cast("date")).alias("live"))
 
 
-@register("""WITH u AS (SELECT url, min(page_id) AS place FROM pages GROUP BY url), d AS (SELECT DISTINCT url, page_id % 4 = 0 AS has, page_id % 3 + 1 AS failures, page_id % 40 AS ago FROM pages WHERE page_id % 2 = 0)
+@register("""WITH u AS (SELECT url, min(page_id) AS place FROM pages GROUP BY url), d AS (SELECT DISTINCT url, page_id % 4 = 0 AS has, page_id % 3 + 1 AS failures, page_id % 40 AS ago FROM pages WHERE url LIKE 'https%')
 SELECT u.url, place FROM u LEFT JOIN d ON d.url = u.url WHERE NOT coalesce(has, false) AND NOT coalesce(DATE '2026-01-01' - CAST(ago AS INTEGER) + CAST(least(7 * power(2, failures - 1), 90) AS INTEGER) > DATE '2026-01-01', false)""")
 def archive_wanted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Addresses to archive: no snapshot, not waiting."""
     pages = table(spark, sf_dir, "pages")
     today = F.lit("2026-01-01").cast("date")
-    done = pages.filter("page_id % 2 = 0").select("url", F.when(F.col("page_id") % 4 == 0, "snap").alias("snapshot"), F.date_sub(today, (F.col("page_id") % 40).cast("int")).alias("tried"), (F.col("page_id") % 3 + 1).alias("failures"))
+    done = pages.filter("url LIKE 'https%'").select("url", F.when(F.col("page_id") % 4 == 0, "snap").alias("snapshot"), F.date_sub(today, (F.col("page_id") % 40).cast("int")).alias("tried"), (F.col("page_id") % 3 + 1).alias("failures"))
     return filters.to_archive(pages.select("url", F.col("page_id").alias("place")), done, today)
 
 
 @register("""WITH n AS (SELECT o_orderkey AS id, o_custkey AS exam, o_orderpriority AS doc_type, 'https://x.org/' || year(o_orderdate) || '/n.pdf' AS url, o_orderstatus = 'F' AS gone, year(o_orderdate) AS y FROM orders),
-r AS (SELECT c_custkey AS exam, 2000 + c_custkey % 2 AS y, min(c_name) AS record FROM customer WHERE c_custkey % 3 > 0 GROUP BY 1, 2 HAVING count(*) = 1)
+r AS (SELECT c_custkey % 1000 AS exam, 2000 + c_custkey % 2 AS y, min(c_name) AS record FROM customer GROUP BY 1, 2 HAVING count(*) = 1)
 SELECT record, n.id AS notice FROM n JOIN r ON r.exam = n.exam AND r.y = n.y WHERE NOT gone AND doc_type IN ('1-URGENT', '2-HIGH') AND n.y >= 2000""")
 def attach_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that belong to the one record of their exam and year."""
     o = table(spark, sf_dir, "orders")
     notices = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("exam"), F.col("o_orderpriority").alias("doc_type"), F.concat(F.lit("https://x.org/"), F.year("o_orderdate").cast("string"), F.lit("/n.pdf")).alias("url"), F.lit("").alias("title"), F.when(F.col("o_orderstatus") == "F", F.lit("x")).alias("gone_since"))
-    records = table(spark, sf_dir, "customer").filter("c_custkey % 3 > 0").select(F.col("c_name").alias("record"), F.col("c_custkey").alias("exam"), (2000 + F.col("c_custkey") % 2).cast("int").alias("year"))
+    records = table(spark, sf_dir, "customer").select(F.col("c_name").alias("record"), (F.col("c_custkey") % 1000).alias("exam"), (2000 + F.col("c_custkey") % 2).cast("int").alias("year"))
     return filters.attachable(notices, records, ("1-URGENT", "2-HIGH"))
 
 
@@ -109,14 +109,14 @@ def link_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""WITH l AS (SELECT page_id, CASE WHEN page_id % 6 = 0 THEN 'https://x.org/' || page_id || '.pdf' ELSE 'https://x.org/' || page_id END AS url FROM pages),
-c AS (SELECT url, CASE page_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'not_found' WHEN 2 THEN 'blocked' END AS state, CASE WHEN page_id % 8 = 0 THEN 'portal' ELSE 'page' END AS kind FROM l WHERE page_id % 4 < 3)
+c AS (SELECT url, CASE page_id % 4 WHEN 0 THEN 'ok' WHEN 1 THEN 'not_found' WHEN 2 THEN 'blocked' END AS state, CASE WHEN page_id % 8 = 0 THEN 'portal' ELSE 'page' END AS kind FROM l)
 SELECT l.page_id, CASE WHEN regexp_matches(l.url, '\\.pdf$') AND coalesce(state, '') <> 'ok' THEN 'file' WHEN state = 'not_found' THEN 'broken' WHEN state = 'ok' THEN kind ELSE 'unknown' END AS kind FROM l LEFT JOIN c USING (url)""")
 def link_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The kinds of a record's links by their checks."""
     k = F.col("page_id")
     url = F.concat(F.lit("https://x.org/"), k.cast("string"), F.when(k % 6 == 0, ".pdf").otherwise(""))
     mine = table(spark, sf_dir, "pages").select("page_id", url.alias("url"))
-    checks = mine.filter("page_id % 4 < 3").select("url", F.when(k % 4 == 0, "ok").when(k % 4 == 1, "not_found").otherwise("blocked").alias("state"), F.when(k % 8 == 0, "portal").otherwise("page").alias("kind"))
+    checks = mine.select("url", F.when(k % 4 == 0, "ok").when(k % 4 == 1, "not_found").when(k % 4 == 2, "blocked").alias("state"), F.when(k % 8 == 0, "portal").otherwise("page").alias("kind"))
     return links.kinds(mine, checks).select("page_id", "kind")
 
 

@@ -146,19 +146,18 @@ def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.idf(docs, "words", "doc_id")
 
 
-@register(f"""WITH p AS (SELECT p_partkey, p_type, {_WORDS.format("p_name")} AS w FROM part), c AS (SELECT s_suppkey, {_WORDS.format("s_name")} AS w FROM supplier),
-x AS (SELECT p_partkey, p_type, unnest(list_distinct(w)) AS word FROM p), f AS (SELECT word, ln((SELECT count(*) FROM part) / count(*)) AS idf FROM x GROUP BY word),
-l AS (SELECT x.*, idf FROM x JOIN f USING (word) WHERE p_partkey % 40 = 0), m AS (SELECT p_partkey, sum(idf) AS mass FROM l GROUP BY 1),
-j AS (SELECT l.p_partkey, x.p_partkey AS other, sum(idf) AS w, count(*) AS common FROM l JOIN x ON l.word = x.word AND l.p_type = x.p_type GROUP BY 1, 2),
+@register(f"""WITH p AS (SELECT p_partkey, p_brand || p_type AS b, {_WORDS.format("p_name")} AS w FROM part),
+x AS (SELECT p_partkey, b, unnest(list_distinct(w)) AS word FROM p), f AS (SELECT word, ln((SELECT count(*) FROM part) / count(*)) AS idf FROM x GROUP BY word),
+l AS (SELECT x.*, idf FROM x JOIN f USING (word)), m AS (SELECT p_partkey, sum(idf) AS mass FROM l GROUP BY 1),
+j AS (SELECT l.p_partkey, x.p_partkey AS other, sum(idf) AS w, count(*) AS common FROM l JOIN x ON l.word = x.word AND l.b = x.b GROUP BY 1, 2),
 s AS (SELECT p_partkey, other, w / mass AS share, common FROM j JOIN m USING (p_partkey) WHERE w / mass >= 0.45),
 r AS (SELECT *, row_number() OVER (PARTITION BY p_partkey ORDER BY share DESC, other) AS place FROM s)
 SELECT p_partkey, other, round(share, 6) AS share, common, place FROM r WHERE place <= 6""")
 def tfidf_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The most similar titles of each wanted one, among those that share a block (J9). The wanted ones are the parts
-    whose key 40 divides: the query set is the feature."""
-    part = table(spark, sf_dir, "part").select("p_partkey", F.filter(tx.words(F.col("p_name")), lambda w: F.length(w) > 2).alias("words"), F.array("p_type").alias("blocks"))
+    """The most similar titles of each, among those that share a block."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.filter(tx.words(F.col("p_name")), lambda w: F.length(w) > 2).alias("words"), F.array(F.concat("p_brand", "p_type")).alias("blocks"))
     weights = matching.idf(part, "words", "p_partkey")
-    found = matching.similar(part.filter("p_partkey % 40 = 0"), part.withColumnRenamed("p_partkey", "other"), weights, id_l="p_partkey", id_r="other", words="words", blocks="blocks")
+    found = matching.similar(part, part.withColumnRenamed("p_partkey", "other"), weights, id_l="p_partkey", id_r="other", words="words", blocks="blocks")
     return found.withColumn("share", F.round("share", 6))
 
 
@@ -170,22 +169,22 @@ def unmapped_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discovery.examples(part, ["p_brand"], F.col("p_name"), [F.col("p_partkey")]).withColumn("examples", F.array_join("examples", "|"))
 
 
-@register("""WITH x AS (SELECT o_custkey % 50 AS body, o_orderpriority AS name, o_orderstatus = 'F' AS strong, year(o_orderdate) AS y FROM orders WHERE o_custkey % 7 = 3),
+@register("""WITH x AS (SELECT o_custkey % 50 AS body, o_orderpriority AS name, o_orderstatus = 'F' AS strong, year(o_orderdate) AS y FROM orders),
 g AS (SELECT body, count(*) AS "rows", count(*) FILTER (WHERE strong) AS strong, count(DISTINCT y) AS years FROM x GROUP BY body),
 m AS (SELECT body, name, row_number() OVER (PARTITION BY body ORDER BY count(*) DESC, name DESC) AS k FROM x GROUP BY body, name)
 SELECT body, "rows", g.strong, years, "rows" + 2 * g.strong + years AS score, m.name FROM g JOIN m USING (body) WHERE m.k = 1 AND ("rows" >= 2 OR g.strong > 0)""")
 def proposal_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series worth proposing, with score and usual name."""
-    x = table(spark, sf_dir, "orders").filter("o_custkey % 7 = 3").select((F.col("o_custkey") % 50).alias("body"), F.col("o_orderpriority").alias("name"), "o_orderstatus", "o_orderdate")
+    x = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("body"), F.col("o_orderpriority").alias("name"), "o_orderstatus", "o_orderdate")
     return discovery.proposals(x, ["body"], "name", F.col("o_orderstatus") == "F", F.year("o_orderdate"))
 
 
 @register("""WITH w AS (SELECT p_partkey, p_brand, string_split(lower(p_name), ' ') AS w FROM part), f AS (SELECT *, array_to_string(list_transform(w, lambda x: x[1:1]), '') AS i FROM w WHERE len(w) >= 2)
-SELECT 'a' || a.p_partkey AS acronym, 'f' || f.p_partkey AS full_name FROM f JOIN f a ON a.p_brand = f.p_brand AND a.i = f.i WHERE a.p_partkey % 10 = 0 AND f.p_partkey % 10 = 1""")
+SELECT 'a' || a.p_partkey AS acronym, 'f' || f.p_partkey AS full_name FROM f JOIN f a ON a.p_brand = f.p_brand AND a.i = f.i""")
 def acronym_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Initials against full names of one group (J15). The names are cut down to initials for one in ten parts, which
-    play the acronyms, and kept for another tenth, which play the full names."""
+    """Initials against full names of one group (J15). Every name is also cut down to its initials, which play the
+    acronyms."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.split(F.lower("p_name"), " ").alias("words"))
-    short = p.filter("p_partkey % 10 = 0").select(F.concat(F.lit("a"), F.col("p_partkey")).alias("id"), "p_brand", F.array(discovery.initials(F.col("words"))).alias("words"))
-    full = p.filter("p_partkey % 10 = 1").select(F.concat(F.lit("f"), F.col("p_partkey")).alias("id"), "p_brand", "words")
+    short = p.select(F.concat(F.lit("a"), F.col("p_partkey")).alias("id"), "p_brand", F.array(discovery.initials(F.col("words"))).alias("words"))
+    full = p.select(F.concat(F.lit("f"), F.col("p_partkey")).alias("id"), "p_brand", "words")
     return discovery.acronyms(short.unionByName(full), "id", "words", ["p_brand"]).withColumnRenamed("full", "full_name")

@@ -114,20 +114,19 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("priority").alias("path"), F.col("o_orderpriority").alias("value")),
         F.struct(F.lit("year").alias("path"), F.when(F.col("o_orderkey") % 3 > 0, F.year("o_orderdate").cast("string")).alias("value")),
     ))
-    return o.select(F.col("o_custkey").alias("record"), "o_orderkey", facts.alias("f")).select("record", "o_orderkey", "f.*").filter("record % 5 = 1")
+    return o.select(F.col("o_custkey").alias("record"), "o_orderkey", facts.alias("f")).select("record", "o_orderkey", "f.*")
 
 
-_FACTS = """f AS (SELECT o_custkey AS record, o_orderkey, 'status' AS path, CASE WHEN o_orderkey % 4 = 0 THEN 'unknown' ELSE o_orderstatus END AS value FROM orders WHERE o_custkey % 5 = 1
-UNION ALL SELECT o_custkey, o_orderkey, 'priority', o_orderpriority FROM orders WHERE o_custkey % 5 = 1
-UNION ALL SELECT o_custkey, o_orderkey, 'year', CASE WHEN o_orderkey % 3 > 0 THEN CAST(year(o_orderdate) AS VARCHAR) END FROM orders WHERE o_custkey % 5 = 1)"""
+_FACTS = """f AS (SELECT o_custkey AS record, o_orderkey, 'status' AS path, CASE WHEN o_orderkey % 4 = 0 THEN 'unknown' ELSE o_orderstatus END AS value FROM orders
+UNION ALL SELECT o_custkey, o_orderkey, 'priority', o_orderpriority FROM orders
+UNION ALL SELECT o_custkey, o_orderkey, 'year', CASE WHEN o_orderkey % 3 > 0 THEN CAST(year(o_orderdate) AS VARCHAR) END FROM orders)"""
 _MERGED = f"""{_FACTS}, g AS (SELECT record, path, list_sort(list(DISTINCT value) FILTER (WHERE value IS NOT NULL AND value NOT IN ('', 'unknown', 'not_announced'))) AS known, min(value) AS b FROM f GROUP BY 1, 2),
 m AS (SELECT record, path, CASE WHEN coalesce(len(known), 0) = 0 THEN b WHEN len(known) = 1 THEN known[1] WHEN path = 'priority' THEN array_to_string(known, '; ') END AS value, coalesce(len(known), 0) > 1 AND path <> 'priority' AS conflict FROM g)"""
 
 
 @register(f"WITH {_MERGED} SELECT * FROM m")
 def merge_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The facts of several records as one, with what they disagree about (M8). The records are those whose key leaves
-    1 when divided by 5: they stand for the groups found to be duplicates."""
+    """The facts of several records as one, with what they disagree about (M8)."""
     return merge.merge_facts(_facts(spark, sf_dir), "record", additive=("priority",))
 
 
@@ -138,16 +137,16 @@ def merge_lost(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.lost(f, merge.merge_facts(f, "record", additive=("priority",)), ["record", "path", "value"])
 
 
-_SIDES = """b AS (SELECT c_custkey AS record, 'segment' AS path, c_mktsegment AS value FROM customer WHERE c_custkey % 7 > 0 UNION ALL SELECT c_custkey, 'state', 'open:' || c_nationkey % 3 FROM customer UNION ALL SELECT c_custkey, 'provenance.at', '1' FROM customer),
-a AS (SELECT c_custkey AS record, 'segment' AS path, CASE WHEN c_custkey % 2 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS value FROM customer WHERE c_custkey % 5 > 0 UNION ALL SELECT c_custkey, 'state', CASE WHEN c_custkey % 3 = 0 THEN 'shut' ELSE 'open:' || c_nationkey % 2 END FROM customer UNION ALL SELECT c_custkey, 'provenance.at', '2' FROM customer)"""
+_SIDES = """b AS (SELECT c_custkey AS record, 'segment' AS path, c_mktsegment AS value FROM customer WHERE c_nationkey >= 4 UNION ALL SELECT c_custkey, 'state', 'open:' || c_nationkey % 3 FROM customer UNION ALL SELECT c_custkey, 'provenance.at', '1' FROM customer),
+a AS (SELECT c_custkey AS record, 'segment' AS path, CASE WHEN c_custkey % 2 = 0 THEN 'BUILDING' ELSE c_mktsegment END AS value FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT c_custkey, 'state', CASE WHEN c_custkey % 3 = 0 THEN 'shut' ELSE 'open:' || c_nationkey % 2 END FROM customer UNION ALL SELECT c_custkey, 'provenance.at', '2' FROM customer)"""
 
 
 def _sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     c = table(spark, sf_dir, "customer")
     row = lambda path, value, where="true": c.filter(where).select(F.col("c_custkey").alias("record"), F.lit(path).alias("path"), value.alias("value"))
     state = lambda n: F.concat(F.lit("open:"), F.col("c_nationkey") % n)
-    b = row("segment", F.col("c_mktsegment"), "c_custkey % 7 > 0").unionByName(row("state", state(3))).unionByName(row("provenance.at", F.lit("1")))
-    a = row("segment", F.when(F.col("c_custkey") % 2 == 0, "BUILDING").otherwise(F.col("c_mktsegment")), "c_custkey % 5 > 0").unionByName(row("state", F.when(F.col("c_custkey") % 3 == 0, "shut").otherwise(state(2)))).unionByName(row("provenance.at", F.lit("2")))
+    b = row("segment", F.col("c_mktsegment"), "c_nationkey >= 4").unionByName(row("state", state(3))).unionByName(row("provenance.at", F.lit("1")))
+    a = row("segment", F.when(F.col("c_custkey") % 2 == 0, "BUILDING").otherwise(F.col("c_mktsegment")), "c_acctbal >= 0").unionByName(row("state", F.when(F.col("c_custkey") % 3 == 0, "shut").otherwise(state(2)))).unionByName(row("provenance.at", F.lit("2")))
     return b, a
 
 
@@ -168,12 +167,12 @@ def material_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.material(merge.diff(*_sides(spark, sf_dir), ["record", "path"], "value", bookkeeping=("provenance",)), "record")
 
 
-@register("""WITH a AS (SELECT DISTINCT 0 AS k, c_nationkey AS key, c_mktsegment AS v FROM customer WHERE c_custkey % 9 = 0 UNION ALL SELECT DISTINCT 1, s_nationkey, 'supplier' FROM supplier),
+@register("""WITH a AS (SELECT DISTINCT 0 AS k, o_custkey AS key, o_orderstatus AS v FROM orders UNION ALL SELECT DISTINCT 1, c_custkey, c_mktsegment FROM customer),
 n AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY k, v) AS n FROM a) SELECT key, v FROM n WHERE n = 1""")
 def union_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The outputs of several workers, the first wins (U1, K15). One customer in nine plays the first worker."""
-    a = table(spark, sf_dir, "customer").filter("c_custkey % 9 = 0").select(F.col("c_nationkey").alias("key"), F.col("c_mktsegment").alias("v"))
-    b = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("key"), F.lit("supplier").alias("v"))
+    """The outputs of several workers, the first wins."""
+    a = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderstatus").alias("v"))
+    b = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("v"))
     return merge.union_first([a, b], ["key"])
 
 

@@ -36,9 +36,9 @@ def month_facet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""SELECT event_id, CASE WHEN CAST(ts AS DATE) = DATE '2024-01-15' THEN 'today' WHEN CAST(ts AS DATE) > DATE '2024-01-15' THEN 'ahead' ELSE 'earlier' END AS part
-FROM events WHERE strftime(ts, '%Y-%m') = '2024-01' AND event_type IN ('signup', 'purchase') AND user_id % 3 = 0""")
+FROM events WHERE strftime(ts, '%Y-%m') = '2024-01' AND event_type IN ('signup', 'purchase') AND value > 20""")
 def calendar_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month's events that pass the filters, by part of the page."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "user_id")
-    found = search.calendar(e, "ts", F.lit("2024-01-15").cast("date"), month="2024-01", where=[F.col("event_type").isin("signup", "purchase"), F.col("user_id") % 3 == 0])
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
+    found = search.calendar(e, "ts", F.lit("2024-01-15").cast("date"), month="2024-01", where=[F.col("event_type").isin("signup", "purchase"), F.col("value") > 20])
     return found.select("event_id", "part")

@@ -84,14 +84,14 @@ def activity_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _health_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    e = table(spark, sf_dir, "events").filter("user_id % 2 = 0")
+    e = table(spark, sf_dir, "events")
     day = lambda d: e.filter(F.to_date("ts") == F.lit(d).cast("date")).groupBy(F.col("user_id").alias("id")).agg(F.count_if(F.col("event_type") != "error").alias("count"), F.max((F.col("event_type") == "error").cast("int")).alias("bad"), F.min("ts").cast("timestamp").alias("at"))
     p = day(OLD).select("id", (F.col("bad") == 0).alias("ok"), F.when(F.col("bad") == 0, 200).otherwise(500).alias("status"), "count", F.col("at").alias("since"), F.when(F.col("id") % 10 == 0, "yield dropped to zero").alias("alert"))
     r = day("2024-01-12").select("id", (F.col("bad") == 0).alias("ok"), F.when(F.col("bad") == 0, 200).otherwise(500).alias("status"), F.when(F.col("id") % 6 == 0, 0).otherwise(F.col("count")).alias("count"), (F.col("id") % 14 == 0).alias("not_modified"), F.col("at").alias("checked"))
     return p, r
 
 
-_HEALTH_DAY = """SELECT user_id AS id, count(*) FILTER (WHERE event_type <> 'error') AS n, max(CAST(event_type = 'error' AS INTEGER)) AS bad, min(ts) AS at_ FROM events WHERE user_id % 2 = 0 AND CAST(ts AS DATE) = DATE '{}' GROUP BY 1"""
+_HEALTH_DAY = """SELECT user_id AS id, count(*) FILTER (WHERE event_type <> 'error') AS n, max(CAST(event_type = 'error' AS INTEGER)) AS bad, min(ts) AS at_ FROM events WHERE CAST(ts AS DATE) = DATE '{}' GROUP BY 1"""
 
 
 @register(f"""WITH p AS (SELECT id, bad = 0 AS ok, CASE WHEN bad = 0 THEN 200 ELSE 500 END AS status, n, at_ AS since, CASE WHEN id % 10 = 0 THEN 'yield dropped to zero' END AS alert FROM ({_HEALTH_DAY.format(OLD)})),
