@@ -42,7 +42,8 @@ HEAD_SHARE = 1e-6
 MIN_KL, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.5
 END = b"\n"  # no word has this byte
-FLUSH = 300_000  # distinct words that a task counts before it hands them on
+FLUSH = 200_000  # distinct words that a task counts before it hands them on
+ROWS = 1000  # texts that a task encodes before it hands them on
 PART = 1 << 18  # symbols that a task handles at once, but for a longer text
 CHUNK = 1 << 21  # sequences that a task counts before it hands them on
 
@@ -246,7 +247,7 @@ def scores(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, known, base, logp = sent.value
         get, end = number.get, number.get(END, -1)
-        for b in batches:
+        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             out, rare, times, offsets = [], [], [], [0]
             for text in b.column(k).to_pylist():
                 found = (text or b"").lower().split()
