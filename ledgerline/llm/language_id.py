@@ -29,6 +29,7 @@ BITS = 15
 SIZE = 1 << BITS
 PER_LANGUAGE, LANGUAGES = 800, 500
 SNIPPET = 60
+EPOCHS = 2
 _LETTERS = re.compile(r"[^\W\d_]+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64(64 - BITS)
@@ -97,8 +98,9 @@ def fit(rows: list[tuple[str, str]], df: np.ndarray, n: int) -> Model:
             else:
                 ready.append((row, names.index(lang)))
     if len(names) > 1:
-        for row, label in ready:
-            model.learn(row, label)
+        for _ in range(EPOCHS):
+            for row, label in ready:
+                model.learn(row, label)
     w, b = model.fitted()
     t = temperature(np.array([x @ w[at] + b for at, x in held[0]]), np.array(held[1])) if held[0] and len(names) > 1 else 1.0
     return names, idf, w, b, t
@@ -125,7 +127,9 @@ def learn(docs: DataFrame, learns: Column) -> Model:
     if rate is None:
         return [], np.zeros(SIZE, np.float32), np.zeros((SIZE, 0), np.float32), np.zeros(0, np.float32), 1.0
     drawn = known.filter(u < F.try_element_at(rate, F.col("lang")))
-    rows = [(r.text, r.lang) for r in drawn.select("text", "lang", u.alias("u"), "doc_id").orderBy("u", "doc_id").limit(2 * PER_LANGUAGE * len(sizes)).collect()]
+    # in an order that has nothing to do with the draw: by u, the rare languages would come last
+    order = F.xxhash64(F.lit("order"), F.col("doc_id").cast("string"))
+    rows = [(r.text, r.lang) for r in drawn.select("text", "lang", order.alias("at"), "doc_id").orderBy("at", "doc_id").limit(2 * PER_LANGUAGE * len(sizes)).collect()]
     return fit(rows, *document_frequency(known))
 
 

@@ -16,6 +16,7 @@ from ledgerline.llm import (
     benchmark_decontam,
     dom_extraction,
     ftrl,
+    language_id,
     license_scan,
     pareto_mixing,
     ring_sharding,
@@ -232,6 +233,15 @@ def test_held_out_accuracy(spark):
     assert wins > 0.97 and all((r.score >= 0.3) == r.predicted for r in rows)
 
 
+def test_languages_of_unequal_size(spark, monkeypatch):
+    """Languages that are drawn at unequal rates are learned in one random order."""
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 150)
+    sf = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang")
+    p = q.queries()["op7_language_id"](spark, sf).join(docs, "doc_id").filter("held_out AND lang IS NOT NULL")
+    assert all(r.right > 0.95 for r in p.groupBy("lang").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).collect())
+
+
 @pytest.fixture(scope="module")
 def lm(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
