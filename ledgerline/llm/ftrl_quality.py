@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc, read
+from .common import id_crc, parts, read
 from .ftrl import Ftrl, Row, probabilities
 
 BITS, SHAPE_BITS = 18, 12
@@ -110,7 +110,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (w, b), memory = sent.value, Memory()
-        for batch in batches:
+        for batch in parts(batches):
             logits = [b + sum(float(w[g].mean()) for g in features(t, memory)) for t in batch.column(2).to_pylist()]
             p = [float(probabilities(np.array([x]))[0]) for x in logits]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64()), pa.array([int(x >= CUT) for x in p], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc, read
+from .common import id_crc, parts, read
 from .ftrl import Ftrl, probabilities, temperature
 
 BITS = 15
@@ -57,7 +57,7 @@ def document_frequency(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         df, n = np.zeros(SIZE + 1, np.int64), 0
-        for b in batches:
+        for b in parts(batches):
             for text in b.column(0).to_pylist():
                 if (g := grams(text)) is not None:
                     hit = np.zeros(SIZE + 1, bool)
@@ -140,7 +140,7 @@ def identify(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataF
     fields = [f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             found = [predict(t, sent.value) for t in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(len(keep))], pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*keep, "lang_pred", "score"])
 
@@ -153,7 +153,7 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             good = [predict(t, sent.value) for t in b.column(at).to_pylist()]
             yield b.filter(pa.array([x[0] != "und" and x[1] >= least for x in good], pa.bool_()))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import parts, read
 
 SAMPLE = 256
 SYMBOLS = "#*$%&|<>"
@@ -121,7 +121,7 @@ def measure(spark: SparkSession, docs: DataFrame) -> list[tuple[str, float, floa
     names = list(RULES)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             out = []
             for text in b.column(0).to_pylist():
                 if Text(text).base_failed:
@@ -154,7 +154,7 @@ def judge(docs: DataFrame, rules: list[str]) -> DataFrame:
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for text in b.column(1).to_pylist():
                 t = Text(text)

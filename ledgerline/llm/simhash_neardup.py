@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, read, small_or_not
+from .common import Staged, parts, read, small_or_not
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 BLOCKS, WIDTH = 4, 16
@@ -58,7 +58,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     key = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([fingerprint(t) for t in b.column(2).to_pylist()], pa.int64())], names=["doc_id", "text_hash", "fp"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id {key}, text_hash long, fp long")
