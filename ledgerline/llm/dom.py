@@ -1,7 +1,9 @@
 """HTML into a tree of blocks, tolerant of missing and crossed tags.
 
 Only block elements are nodes. Inline elements give their text to the block around them; a text run between the blocks
-of an element is a node of its own, ``#text``. Scripts, styles and the like, comments and the head have no text.
+of an element is a node of its own, ``#text``. Scripts, styles and the like, comments and what belongs in a head have no
+text. A head needs no end: its elements are silent or empty, and whatever else comes belongs to the body. Of a silent
+element without an end tag only the start tag is skipped, unless its content is raw text.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ from html import unescape
 
 _TOKEN = re.compile(r"<(?:!--(?:.*?--!?>|.*)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>|[^>]*(?:>|$)))", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?")
+_BODY = re.compile(r"</head\s*>|<body\b", re.I)
 # Elements by how a browser lays them out.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul label select option optgroup button".split())
-SILENT = frozenset("script style noscript template iframe object embed svg math head title textarea canvas audio video noembed noframes xmp".split())
+SILENT = frozenset("script style noscript template iframe object svg math title textarea canvas audio video noembed noframes xmp".split())
+RAW = frozenset("script style xmp noembed noframes".split())  # tags in them are text: without an end tag, all the rest is theirs
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: An opening element ends the open ones to the right of it, up to one of the last set.
 CLOSES = {
@@ -49,6 +53,7 @@ def parse(html: str | None) -> list[Node]:
     stack = [0]
     run: list[str] = []  # text since the last block tag
     in_link = False
+    unclosed: set[str] = set()  # silent elements that have no end tag from here on
 
     def add(tag: str, attrs: str = "", mark: str = "") -> int:
         nodes.append(Node(tag, stack[-1], attrs, mark))
@@ -82,12 +87,16 @@ def parse(html: str | None) -> list[Node]:
         closing, tag, rest = found[1], found[2].lower(), found[3]
         if tag in SILENT:
             if not closing and not rest.rstrip(">").endswith("/"):
-                if tag == "head":  # its own elements are silent or have no text; body ends it
-                    stop = re.compile(r"</head\s*>|<body\b", re.I).search(html, position)
-                    position = stop.start() if stop else end
+                stop = None if tag in unclosed else re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, position)
+                body = None if stop and tag != "title" else _BODY.search(html, position, stop.start() if stop else end)
+                if body and (tag == "title" or tag in RAW):  # not ended in the head
+                    position = body.start()
+                elif stop:
+                    position = stop.end()
+                elif tag in RAW:
+                    position = end
                 else:
-                    stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(html, position)
-                    position = stop.end() if stop else end
+                    unclosed.add(tag)
             continue
         if tag == "a":
             in_link = not closing

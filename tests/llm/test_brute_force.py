@@ -313,6 +313,17 @@ def test_parser():
     assert [(n.tag, n.text) for n in nodes if n.text and n.parent != -2] == [("p", ["One two"]), ("p", ["thé re"]), ("li", ["x"]), ("li", ["y"]), ("#text", ["tail"])]
 
 
+@pytest.mark.parametrize(
+    "before",
+    ['<embed src="x">', "<head><title>t</title><meta charset=x>", "<head><title>t<body>", "<head><style>p{}<body>", *[f"<{t} a=b>" for t in "iframe object svg audio video canvas noscript template".split()]],
+)
+def test_parser_keeps_what_follows(before):
+    nodes = parse(f"{before}<p>One</p><p>Two</p>")
+    assert [n.text for n in nodes if n.text and n.parent != -2] == [["One"], ["Two"]]
+    closed = parse("<p>One</p><svg><title>x</title></svg><iframe>y</iframe><noscript><p>z</p></noscript><p>Two</p><script>v='<p>'")
+    assert [n.text for n in closed if n.text and n.parent != -2] == [["One"], ["Two"]]
+
+
 def test_no_kept_block_in_a_dropped_one():
     r = np.random.default_rng(0)
     nodes = parse(dom_extraction.Writer(5).page())
