@@ -61,17 +61,17 @@ def parse(html: str | None) -> list[Node]:
         return len(nodes) - 1
 
     def settle() -> None:
-        nonlocal linked
+        nonlocal linked, run_mark
         if run:
             text = " ".join(unescape("".join(run)).split())
             if text:
-                at = add("#text")
+                at = add("#text", mark=run_mark)
                 nodes[at].text.append(text)
                 nodes[at].linked = min(linked, len(text))
             run.clear()
-        linked = 0
+        linked, run_mark = 0, ""
 
-    linked = 0
+    linked, run_mark = 0, ""
     position, end = 0, len(html)
     while position < end:
         found = _TOKEN.search(html, position)
@@ -109,6 +109,8 @@ def parse(html: str | None) -> list[Node]:
             run.append(" ")
             continue
         if tag not in BLOCKS:
+            if tag == "span" and "data-mark" in rest:  # of labelled pages only
+                run_mark = next((a[2] or "" for a in _ATTRIBUTE.finditer(rest) if a[1] == "data-mark"), run_mark)
             continue
         settle()
         in_link = in_link and not closing and tag not in ("p", "li", "td")
@@ -150,4 +152,5 @@ def parse(html: str | None) -> list[Node]:
         if len(n.children) == 1 and nodes[n.children[0]].tag == "#text":
             only = nodes[n.children[0]]
             n.text, n.linked, n.children, only.parent = only.text, only.linked, [], -2
+            n.mark = only.mark or n.mark
     return nodes

@@ -8,7 +8,8 @@ container may hold anything, main text may hold main text or dropped blocks, a d
 
 The trees are trained on the driver on PAGES made-up pages whose blocks are labelled as they are written: menus,
 headers, footers, sidebars, notices, adverts, forms, reader comments and articles, in semantic elements or in divs that
-have names, with and without closing tags. No page of the input is learned from.
+have names, with and without closing tags. Articles have paragraphs, or text runs beside blocks, in elements of their own or
+straight in the body. No page of the input is learned from.
 
 Defined cases: a null or empty page has the empty text; so has one without main text; pages are read one by one,
 repeated or not; an empty table gives no rows; other columns are not read.
@@ -229,10 +230,40 @@ class Writer:
             inner = self.tag("label", self.words(1, 3)) + '<input type="text">' + self.tag("button", self.words(1, 2)) + (self.tag("p", self.sentences(1, 2)) if r.random() < 0.4 else "")
         return self.tag(tag, inner, DROP, attrs)
 
+    def loose(self, low: int, high: int) -> str:
+        """A text run of an article, in no block of its own; the mark is of the run."""
+        bits = [self.sentences(1, 3) for _ in range(self.r.randint(low, high))]
+        if self.r.random() < 0.3:
+            bits[0] = self.r.choice(['<a href="/y">{}</a> ', "<em>{}</em> ", "<b>{}</b> "]).format(self.words(1, 3)) + bits[0]
+        return self.tag("span", "", KEEP) + self.r.choice(["<br>", "<br><br>\n", "<br/>", " "]).join(bits)
+
+    def mixed(self) -> str:
+        """An element of an article with text runs beside blocks."""
+        r = self.r
+        short = lambda: self.tag("span", "", KEEP) + r.choice([self.words(1, 8), self.sentences(1, 2)])
+        below = lambda tag, inner: self.tag(tag, inner, KEEP)
+        items = lambda: below(r.choice(["ul", "ol"]), "".join(below("li", self.words(1, 8)) for _ in range(r.randint(1, 4))))
+        x = r.random()
+        if x < 0.3:
+            return below("div", self.loose(1, 3) + r.choice([below(r.choice(["h2", "h3"]), self.words(1, 5)), below("p", self.sentences(1, 3)), items(), self.region("ad")]) + self.loose(1, 3))
+        if x < 0.6:
+            return below(r.choice(["ul", "ol"]), "".join(below("li", short() + (r.choice([items(), below("p", self.sentences(1, 2))]) if r.random() < 0.7 else "")) for _ in range(r.randint(1, 4))))
+        if x < 0.8:
+            cell = lambda: below("td", short() + (r.choice([below("p", self.sentences(1, 2)), items()]) if r.random() < 0.7 else "") + (short() if r.random() < 0.2 else ""))
+            return below("table", "".join(below("tr", "".join(cell() for _ in range(r.randint(1, 3)))) for _ in range(r.randint(1, 3))))
+        return below("blockquote", self.loose(1, 2) + below("p", self.sentences(1, 2)) + (self.loose(1, 1) if r.random() < 0.4 else ""))
+
     def article_parts(self) -> list[str]:
         r = self.r
         parts = []
+        runs = 0.7 if r.random() < 0.25 else 0.03  # pages that break lines instead of writing paragraphs
         for _ in range(r.choice([1, 1, 2, 3, 5, 8, 14, 30])):
+            if r.random() < runs:
+                parts.append(self.loose(1, 5))
+                continue
+            if r.random() < 0.12:
+                parts.append(self.mixed())
+                continue
             x = r.random()
             if x < 0.7:
                 text = self.sentences(1, 8) if r.random() < 0.85 else self.words(1, 2).capitalize() + "."
@@ -283,7 +314,8 @@ class Writer:
         for _ in range(r.choice([0, 0, 1, 1, 2])):
             inner = self.tag("div", inner, CONTAINER, self.name(_WRAPPERS, 0.8))
         top = "".join(self.region(k) for k in ("notice", "header", "nav", "ad") if r.random() < (0.75 if k == "nav" else 0.45))
-        bottom = "".join(self.region(k) for k in ("notice", "nav", "footer") if r.random() < (0.85 if k == "footer" else 0.15))
+        bottom = "<hr>" + r.choice([self.words(2, 8), "&copy; " + self.words(1, 5), " | ".join(self.tag("a", self.words(1, 2)) for _ in range(3))]) if r.random() < 0.1 else ""
+        bottom += "".join(self.region(k) for k in ("notice", "nav", "footer") if r.random() < (0.85 if k == "footer" else 0.15))
         end = "" if self.sloppy else "</body></html>"
         head = f"<head><title>{self.words(1, 9)}</title><style>p{{margin:0}}</style></head>" if r.random() < 0.9 else ""
         return f'<!DOCTYPE html><html data-mark="{CONTAINER}">{head}<body data-mark="{CONTAINER}">{top}<!-- ad -->{inner}{bottom}{end}'

@@ -344,3 +344,24 @@ def test_pages_not_seen():
         right += 2 * sum((want & Counter(got.split())).values())
         total += sum(want.values()) + len(got.split())
     assert right / total > 0.95
+
+
+ABOUT = "The old bridge over the river was closed in spring, and the town has repaired it since. "
+REST = "<nav><ul><li><a href=/>Home</a><li><a href=/n>News</a><li><a href=/c>Contact</a></ul></nav>", "<footer><p>&copy; 2024 Imprint</p></footer>"
+
+
+@pytest.mark.parametrize(
+    "article",
+    [
+        f"<div class=article>Intro: {ABOUT}<br>More text. {ABOUT}<h2>A heading</h2>Tail: {ABOUT}</div>",
+        f"<article><h1>A heading</h1><p>{ABOUT}</p><ul><li>Item one: {ABOUT}<ul><li>Inner point</li></ul></li><li>Item two</li></ul><p>{ABOUT}</p></article>",
+        f"<article><h1>A heading</h1><p>{ABOUT}</p><table><tr><td>Cell: {ABOUT}<p>Inside. {ABOUT}</p></td></tr></table><p>{ABOUT}</p></article>",
+        f"<h1>A heading</h1>Start. {ABOUT}{ABOUT}<br><br>{ABOUT}<div class=advert>Buy now</div>End. {ABOUT}{ABOUT}<br><br>{ABOUT}",
+        f"<article><p>{ABOUT}</p><blockquote>Quote: {ABOUT}<p>Inside. {ABOUT}</p></blockquote></article>",
+    ],
+)
+def test_text_beside_blocks(article):
+    """Hand-written pages; the words of the article, and none of what is around it."""
+    got = dom_extraction.extract_many([f"<html><head><title>t</title></head><body>{REST[0]}{article}{REST[1]}</body></html>"], dom_extraction.model())[0]
+    want = " ".join(" ".join(n.text) for n in parse(article.replace("<div class=advert>Buy now</div>", "<hr>")) if n.text and n.parent != -2)
+    assert " ".join(got.split()) == " ".join(want.split())
