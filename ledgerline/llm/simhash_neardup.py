@@ -18,7 +18,7 @@ rows; other columns of the input are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -118,9 +118,9 @@ def groups(docs: DataFrame) -> tuple[Staged, DataFrame]:
     return found, member.select("fp", "root").join(first, "root").select("fp", F.col("keeper.doc_id").alias("component_id"), "keeper")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], tuple[Staged, DataFrame]] = groups) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id."""
-    found, by_fp = groups(docs)
+    found, by_fp = grouped(docs)
     rows = found.df.join(by_fp, "fp").select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))).alias("keeps"))
     keys = rows.groupBy("doc_id", "text_hash", "keeps").agg(F.count("*").alias("n"))
     # one row a key, so that the join does not multiply; keys of a single row that stays are not listed

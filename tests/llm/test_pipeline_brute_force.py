@@ -1,6 +1,7 @@
 """The rows of the whole pipeline, and of each stage, against plain Python over a small table."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -130,3 +131,39 @@ def test_pipeline_against_plain_python(spark, small):
     assert len(steps[0]) < len(rows) and len(steps[1]) < len(steps[0]) - 25 and len(steps[2]) <= len(steps[1]) - 5
     want = Counter(sharded(steps[-1], corpus_pipeline.SHARDS))
     assert Counter((r.doc_id, r.shard, r.slot) for r in corpus_pipeline.run(spark, small).collect()) == want
+
+
+def test_near_copies_by_brute_force(spark):
+    """Groups are those of all pairs of five-word sets at 0.8; a crowd in one band, chains, exact copies, no words."""
+    r = random.Random(7)
+    text = lambda n: [f"w{r.randrange(5000)}" for _ in range(n)]
+    texts = ["", None, "one two", "One  two", "one two three"]
+    for _ in range(30):
+        base = text(200)
+        texts.append(" ".join(base))
+        for changed in (1, 2, 3, 4, 6, 12):
+            near = list(base)
+            for i in r.sample(range(200), changed):
+                near[i] = "changed"
+            texts.append(" ".join(near))
+    crowd = text(300)
+    for i in range(150):
+        crowd[i % 150] = f"step{i}"  # each is near to the one before
+        texts.append(" ".join(crowd))
+    texts += texts[5:20]
+    grams = [{tuple(w[i : i + 5]) for w in [(t or "").lower().split()] for i in range(max(1, len(w) - 4))} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(grams):
+        for j, b in enumerate(grams[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id for x in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == {find(i) for i in range(len(texts))}
