@@ -3,38 +3,28 @@
 from __future__ import annotations
 
 import atexit
-import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.java_gateway import JavaObject, JVMView
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 #: The word of every contract here: a run of characters other than space and \t \n \v \f \r.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_staged: list[tuple[SparkSession, str]] = []
+#: What is still there: the JVM and its settings outlive a stopped session.
+_staged: dict[str, tuple[JVMView, JavaObject]] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode a folder of our own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    found = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def _remove(jvm: JVMView, conf: JavaObject, path: str) -> None:
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(conf).delete(target, True)
 
@@ -43,28 +33,42 @@ class Staged:
     """A frame written once to the shared folder and read back, so that what follows neither repeats the work
     nor depends on an executor's disk. ``drop()`` removes it; what is left goes when the driver ends."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, rows_a_file: int = 0):
         self.spark = df.sparkSession
         self.path = f"{shared_dir(self.spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
-        _staged.append((self.spark, self.path))
-        df.write.parquet(self.path)
+        _staged[self.path] = (self.spark._jvm, self.spark._jsc.hadoopConfiguration())
+        df.write.option("maxRecordsPerFile", rows_a_file).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        _remove(self.spark, self.path)
-        _staged.remove((self.spark, self.path))
+        if self.path in _staged:
+            _remove(*_staged.pop(self.path), self.path)
 
 
 @atexit.register
 def _tidy() -> None:
-    for spark, path in _staged:
+    for path, (jvm, conf) in _staged.items():
         try:
-            if not spark.sparkContext._jsc.sc().isStopped():
-                _remove(spark, path)
-        except Exception:  # noqa: BLE001 - the session may be half closed at exit
+            _remove(jvm, conf, path)
+        except Exception:  # noqa: BLE001 - the JVM may be gone already
             return
 
 
+def bounded_texts(df: DataFrame, order: str, rows: int, size: int) -> list[Row]:
+    """Rows of ``df`` (with text) on the driver, in the order of a hash: as many as have ``size`` bytes of text together, ``rows``
+    at most. No text is cut; one of over a sixteenth of ``size`` is not among them."""
+    fits = df.withColumn("__size", F.octet_length(F.coalesce("text", F.lit("")))).filter(F.col("__size") <= size // 16)
+    held, last = 0, None
+    for at, n in fits.select(order, "__size").orderBy(order).limit(rows).collect():
+        held += n
+        if held > size:
+            break
+        last = at
+    if last is None:
+        return []
+    return fits.filter(F.col(order) <= last).drop("__size").orderBy(order, "text").limit(rows).collect()
+
+
 def parts(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
     """Arrow batches in slices, so that a worker holds the Python texts of few rows at a time."""
     for b in batches:

@@ -1,288 +1,426 @@
 """Language-model scores by a probabilistic suffix tree over words.
 
-Symbols are the lower-cased words of a text and its end; a word that the training texts do not have is one symbol more,
-the unseen word. A text stands between two ends, and a context is what stands before a symbol, DEPTH symbols at most.
-
-The empty context gives each seen symbol its discounted relative frequency, and what the discount frees to the unseen
-word. A context becomes a state of the tree if its next-symbol distribution diverges from that of its suffix by MIN_KL
-nats a symbol and MIN_GAIN in all. A state's distribution is smoothed: sequences (context and next symbol) that make
-up SEQ_SHARE of all symbols have their discounted relative frequency, and what is left goes to the other symbols in
-proportion to the distribution of the longest shorter state. A symbol is scored by the longest state that is a suffix
-of what stands before it. Every distribution adds up to 1.
-
-Counts are of all symbols of all texts that may be learned from: tasks count their own, a shuffle adds them up. There
-are at most 1 / SEQ_SHARE frequent sequences of a length, whatever the corpus, and longer ones are counted only where
-both of their shorter parts are frequent. Words that make up HEAD_SHARE of all words (so 1 / HEAD_SHARE at most) are
-looked up in the pass over the texts; rarer ones, none of which can be a hot key, meet their counts in a join.
-
-Defined cases: a null text is empty and consists of its end; with nothing to learn from, every symbol is unseen and
-has probability 1; rows are scored one by one, repeated or not; an empty table gives no rows; other columns are not
-read.
+Symbols are the lower-cased words of a text and its end. A text stands between two ends, and a context is what stands
+before a symbol, DEPTH symbols at most.
+
+The empty context gives each seen word its discounted relative frequency. What the discount frees belongs to the words
+that the training texts do not have: it is shared equally among as many as there are by Chao's estimate (n1 ** 2 / 2 n2,
+from the words seen once and twice), so that a new word costs about as much as a word seen once, or more.
+
+A sequence (context and next symbol) counts if it occurs LEAST times in the training texts, whatever their size, and so
+do both sequences one shorter that it begins and ends with. A context becomes a state of the tree if its next-symbol
+distribution diverges from that of its suffix by MIN_KL nats a symbol and MIN_GAIN in all. A state's distribution is
+smoothed: sequences that count have their discounted relative frequency, and what is left goes to the other symbols in
+proportion to the distribution of the longest shorter state. A symbol is scored by the longest state that is a suffix of
+what stands before it. Every distribution adds up to 1.
+
+The tree is never in one place, since it grows with the corpus. Texts are cut into chunks of about CHUNK symbols, kept
+as numbers. A chunk asks about each of its sequences once, by a 64-bit key: keys go to as many buckets as the corpus
+needs, a bucket adds up what all chunks say and answers each of them. So a sequence that every text has is one row a chunk,
+not one an occurrence, and no key is hot. Round by round a chunk learns how often its words, pairs, triples and so on
+occur in all training texts; one chunk of those that have a sequence adds its term to the divergence of its
+context, and chunks ask again which contexts are states. Nothing but counts of words reaches the driver.
+
+Defined cases: a null text is empty and consists of its end; with nothing to learn from, every symbol has probability 1;
+rows are scored one by one, repeated or not; an empty table gives no rows; a text longer than CHUNK is a chunk of its
+own; other columns are not read. Keys stand for words and sequences: two that share 64 bits would count as one.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from itertools import repeat
-from math import log10
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, id_crc, read
+from .common import Staged, id_crc, parts, read
 
 DEPTH = 3
-SEQ_SHARE = 2e-5
-HEAD_SHARE = 1e-6
+LEAST = 2
+SEQ_SHARE = 0.0  # a sequence needs no share of all symbols: LEAST alone decides, at every size
 MIN_KL, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.5
 END = b"\n"  # no word has this byte
-FLUSH = 200_000  # distinct words that a task counts before it hands them on
-ROWS = 1000  # texts that a task encodes before it hands them on
-PART = 1 << 18  # symbols that a task handles at once, but for a longer text
-CHUNK = 1 << 21  # sequences that a task counts before it hands them on
-
-
-def vocabulary(docs: DataFrame) -> DataFrame:
-    """(word, c, seen) of (text, learns): how often a symbol occurs in the texts to learn from, and in all."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = (Counter(), Counter())
-
-        def flushed() -> pa.RecordBatch:
-            rows = [(w, n, learned) for learned in (0, 1) for w, n in counters[learned].items()]
-            for c in counters:
-                c.clear()
-            n, learned = (pa.array(x, pa.int64()) for x in ([r[1] for r in rows], [r[1] * r[2] for r in rows]))
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), learned, n], names=["word", "c", "seen"])
-
-        for b in batches:
-            for text, learns in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = counters[bool(learns)]
-                c.update((text or b"").lower().split())
-                c[END] += 1
-                if len(c) > FLUSH:
-                    yield flushed()
-        yield flushed()
-
-    rows = docs.select(F.col("text").cast("binary").alias("text"), "learns").mapInArrow(run, "word binary, c long, seen long")
-    return rows.groupBy("word").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
+CHUNK = 1 << 19  # symbols
+BUCKET = 1 << 21  # symbols of the corpus for each bucket of keys
+BUCKETS = 64  # at least
+CHUNKS_A_TASK, CHUNKS_A_FILE = 2, 8
+STATES = 100  # step of a question for states of a level, above those for counts
+_MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass
 class Root:
-    """The empty context: c = 0 is the unseen word."""
+    """The empty context; c = 0 is an unseen word, one of ``unseen``."""
 
     n: int
     v: int
     discount: float
+    unseen: float = 1.0
 
-    def logp(self, c: int) -> float:
+    def logp(self, c: np.ndarray) -> np.ndarray:
         if not self.n:
-            return 0.0
-        return log10((c - self.discount) / self.n) if c else log10(self.discount * self.v / self.n)
+            return np.zeros(len(c))
+        return np.log10(np.where(c > 0, c - self.discount, self.discount * self.v / self.unseen) / self.n)
 
-    def base(self, c: int) -> float:
-        return log10((c + 1) / (self.n + self.v + 1))
+    def base(self, c: np.ndarray) -> np.ndarray:
+        return np.log10((c + 1) / (self.n + self.v + 1))
 
 
-@dataclass
-class Grams:
-    """Frequent sequences of one length, by number: their keys in order (the numbers of the sequences one shorter that
-    they begin and end with), log10 of the probability of their last symbol; as contexts: whether they are states,
-    and log10 of the weight of the shorter state's distribution."""
+# --- numbers as bytes -----------------------------------------------------------------------------------------------
 
-    keys: np.ndarray
-    logp: np.ndarray
-    state: np.ndarray
-    back: np.ndarray
 
-    def number(self, key: np.ndarray) -> np.ndarray:
-        """Numbers of keys, -1 for others."""
-        if not len(self.keys):
-            return np.full(len(key), -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, at, -1)
+def packed(x: np.ndarray) -> bytes:
+    """Unsigned numbers by planes of bytes, the lowest first; planes above the largest number are left out, and those
+    that are mostly zero compress well."""
+    x = np.ascontiguousarray(x, np.uint64)
+    width = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    return bytes([width]) + np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
 
 
-@dataclass
-class Tree:
-    words: int  # the frequent words are the numbers from 0
-    logp: np.ndarray  # of all numbered words in the empty context
-    levels: list[Grams] = field(default_factory=list)  # levels[0]: single words
-
-
-def follow(levels: list[Grams], words: int, ids: np.ndarray, inner: np.ndarray) -> list[np.ndarray]:
-    """For each length the number of the frequent sequence that ends at each place, or -1. ids: numbers of words;
-    inner: whether a place has one before it in its text."""
-    out = [np.where(ids < words, ids, -1)]
-    for lv in levels[1:]:
-        g, before = out[-1], np.concatenate([[-1], out[-1][:-1]])
-        at = np.flatnonzero((g >= 0) & (before >= 0) & inner)
-        nxt = np.full(len(ids), -1)
-        nxt[at] = lv.number(before[at] << 32 | g[at])
-        out.append(nxt)
-    return out
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    if n and data[0]:
+        out[:, : data[0]] = np.frombuffer(data, np.uint8, offset=1).reshape(data[0], n).T
+    return out.reshape(-1).view(np.uint64)
 
 
-def _slices(b: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """The batch in parts of about PART symbols, so that arrays over all symbols stay small."""
-    sizes = np.cumsum(pc.binary_length(b.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)) // 4
-    first = 0
-    while first < b.num_rows:
-        before = sizes[first - 1] if first else 0
-        end = max(first + 1, int(np.searchsorted(sizes, before + PART, side="right")))
-        yield b.slice(first, end - first)
-        first = end
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(31)) * _MIX2
+    return x ^ x >> np.uint64(29)
 
 
-def _texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all texts of a column, each between two ends, and where the texts begin."""
-    parts = [np.frombuffer(x, np.int32) for x in column.to_pylist()]
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int32)).astype(np.int64), np.cumsum(lengths) - lengths
+# --- chunks ---------------------------------------------------------------------------------------------------------
 
 
-def sequences(encoded: DataFrame, tree: Tree, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, in order, and counts of the sequences one longer than those of the last level that occur ``least`` times."""
-    sent = encoded.sparkSession.sparkContext.broadcast((tree.words, tree.levels))  # bounded by 1 / SEQ_SHARE a level
+def chunks(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """(chunk, words, n_words, ids, sizes, learns, kept) of docs (keep, text, learns): the distinct words of some texts
+    as keys in order, each symbol's number among them, how many symbols each text has, whether it is learned from."""
+    k = len(keep)
+    inner = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, levels = sent.value
-        waiting: list[np.ndarray] = []
-
-        def counted() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
-            waiting.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
-
-        for b in (part for whole in batches for part in _slices(whole, 0)):
-            ids, starts = _texts(b.column(0))
-            inner = np.ones(len(ids), bool)
-            inner[starts] = False
-            g = follow(levels, words, ids, inner)[-1]
-            before = np.concatenate([[-1], g[:-1]])
-            at = np.flatnonzero((g >= 0) & (before >= 0) & inner)
-            waiting.append(before[at] << 32 | g[at])
-            if sum(map(len, waiting)) > CHUNK:
-                yield counted()
-        if waiting:
-            yield counted()
-
-    rows = encoded.filter("learns").select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    found = sorted((r.key, r.n) for r in rows.filter(F.col("n") >= least).collect())
-    return np.array([k for k, _ in found], np.int64), np.array([n for _, n in found], np.int64)
-
-
-def grow(encoded: DataFrame, root: Root, counts: np.ndarray, words: int) -> Tree:
-    """The tree: counts are those of the numbered words in the training texts, the first ``words`` are frequent."""
-    logp = np.array([root.logp(int(c)) for c in counts])
-    no = np.zeros(0)
-    tree = Tree(words, logp, [Grams(no, logp[:words], np.zeros(words, bool), np.zeros(words))])
-    before = counts[:words]
-    for _ in range(DEPTH):
-        keys, n = sequences(encoded, tree, max(2.0, SEQ_SHARE * root.n))
-        last = tree.levels[-1]
-        begins, ends = keys >> 32, keys & (2**32 - 1)
-        p = (n - DISCOUNT) / before[begins] if len(keys) else no
-        q = 10.0 ** last.logp[ends] if len(keys) else no
-        size = len(before)
-        p_all, q_all = np.bincount(begins, p, size), np.bincount(begins, q, size)
-        p_left, q_left = np.maximum(1 - p_all, 1e-9), np.maximum(1 - q_all, 1e-9)
-        kl = np.bincount(begins, p * np.log(p / q), size) + p_left * np.log(p_left / q_left)
-        last.state = (kl >= MIN_KL) & (kl * before >= MIN_GAIN)
-        last.back = np.where(last.state, np.log10(p_left / q_left), 0.0)
-        if not len(keys):
-            break
-        tree.levels.append(Grams(keys, np.where(last.state[begins], np.log10(p), last.logp[ends]), np.zeros(len(keys), bool), np.zeros(len(keys))))
-        before = n
-    return tree
-
-
-def beyond_root(tree: Tree, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """For each text, the log10 of its probability less that under the empty context alone. ids: as in follow; the end
-    at the beginning of a text is not scored."""
-    inner = np.ones(len(ids), bool)
-    inner[starts] = False
-    g = follow(tree.levels, tree.words, ids, inner)
-    out = np.zeros(len(ids))
-    todo = inner.copy()
-    for k in range(len(tree.levels) - 1, -1, -1):
-        lv = tree.levels[k]
-        context = np.concatenate([[-1], g[k][:-1]])
-        at = np.flatnonzero(todo & (context >= 0))
-        at = at[lv.state[context[at]]]
-        if not len(at):
-            continue
-        whole = g[k + 1][at] if k + 1 < len(g) else np.full(len(at), -1)
-        hit = at[whole >= 0]
-        if len(hit):
-            out[hit] += tree.levels[k + 1].logp[whole[whole >= 0]] - tree.logp[ids[hit]]
-            todo[hit] = False
-        miss = at[whole < 0]
-        out[miss] += lv.back[context[miss]]
-    return np.add.reduceat(out, starts) if len(starts) else np.zeros(0)
+        digest, end = xxhash.xxh64_intdigest, xxhash.xxh64_intdigest(END)
+        hashes: list[np.ndarray] = []
+        sizes: list[int] = []
+        learned: list[bool] = []
+        rows: list[pa.RecordBatch] = []
+        held, number = 0, TaskContext.get().partitionId() << 32
+
+        def cut() -> pa.RecordBatch:
+            nonlocal held, number
+            words, ids = np.unique(np.concatenate(hashes), return_inverse=True)
+            kept = pa.concat_arrays([pa.StructArray.from_arrays(b.columns[:k], names=list(keep)) for b in rows])
+            one = lambda x, kind: pa.array([x], kind)
+            cols = [one(number, pa.int64()), one(packed(np.diff(words, prepend=np.uint64(0))), pa.binary()), one(len(words), pa.int64()), one(packed(ids), pa.binary()), one(packed(np.array(sizes)), pa.binary()), one(np.array(learned, bool).tobytes(), pa.binary())]
+            cols.append(pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept))
+            for x in (hashes, sizes, learned, rows):
+                x.clear()
+            held, number = 0, number + 1
+            return pa.RecordBatch.from_arrays(cols, names=["chunk", "words", "n_words", "ids", "sizes", "learns", "kept"])
+
+        for b in parts(batches, 200):
+            for text, learns in zip(b.column(k).to_pylist(), b.column(k + 1).to_pylist(), strict=True):
+                found = (text or b"").lower().split()
+                ids = np.empty(len(found) + 2, np.uint64)
+                ids[0] = ids[-1] = end
+                ids[1:-1] = np.fromiter(map(digest, found), np.uint64, len(found))
+                hashes.append(ids)
+                sizes.append(len(ids))
+                learned.append(bool(learns))
+                held += len(ids)
+            rows.append(b)
+            if held >= CHUNK:
+                yield cut()
+        if rows:
+            yield cut()
+
+    shape = f"chunk long, words binary, n_words long, ids binary, sizes binary, learns binary, kept array<struct<{inner}>>"
+    return docs.select(*keep, F.col("text").cast("binary").alias("text"), "learns").mapInArrow(run, shape)
+
+
+@dataclass
+class Level:
+    """The sequences of one length in a chunk, by their keys in order: where they occur, how often in the chunk's
+    training texts (``own``) and in all of them (``count``, 0 below LEAST), whether this chunk speaks for them, and the
+    numbers of the sequences one shorter that they begin and end with. ``at``: for each place the number of the one that ends there and counts, or -1."""
+
+    keys: np.ndarray
+    own: np.ndarray
+    begins: np.ndarray
+    ends: np.ndarray
+    places: np.ndarray
+    number: np.ndarray
+    count: np.ndarray | None = None
+    speaks: np.ndarray | None = None
+    at: np.ndarray | None = None
+    state: np.ndarray | None = None
+    back: np.ndarray | None = None
+    logp: np.ndarray | None = None
+
+
+class Chunk:
+    """A chunk with what it has been told: answers by step, in the order of the keys it asked for."""
+
+    def __init__(self, row: dict, answers: dict[int, list[bytes]], root: Root | None):
+        self.root = root
+        self.answers = answers
+        self.words = np.cumsum(unpacked(row["words"], row["n_words"]), dtype=np.uint64)
+        learns = np.frombuffer(row["learns"], bool)
+        self.sizes = unpacked(row["sizes"], len(learns)).astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.ids = unpacked(row["ids"], int(self.sizes.sum())).astype(np.int64)
+        self.learns = np.repeat(learns, self.sizes)
+        self.inner = np.ones(len(self.ids), bool)
+        self.inner[self.starts] = False
+        self.levels: list[Level] = []
+        own = np.bincount(self.ids, self.learns & self.inner, len(self.words)).astype(np.uint64)
+        none = np.zeros(0, np.int64)
+        self.grow(Level(self.words, own, none, none, np.arange(len(self.ids)), self.ids))
+        while len(self.levels) - 1 in answers and len(self.levels) <= DEPTH:
+            self.grow(self.longer())
+
+    def grow(self, level: Level) -> None:
+        k = len(self.levels)
+        self.levels.append(level)
+        if k not in self.answers:
+            return
+        told = np.concatenate([np.frombuffer(x, np.uint64) for x in self.answers[k]]) if self.answers[k] else np.zeros(0, np.uint64)
+        level.count, level.speaks = (told >> np.uint64(1)).astype(np.int64), (told & np.uint64(1)).astype(bool)
+        level.at = np.full(len(self.ids), -1)
+        good = level.count[level.number] >= LEAST
+        level.at[level.places[good]] = level.number[good]
+        if k == 0:
+            if self.root is None:
+                return
+            level.logp = self.root.logp(level.count)
+        else:
+            shorter = self.levels[k - 1]
+            if shorter.state is None:
+                return
+            with np.errstate(divide="ignore", invalid="ignore"):
+                p = np.log10((level.count - DISCOUNT) / shorter.count[level.begins])
+            level.logp = np.where(shorter.state[level.begins], p, shorter.logp[level.ends])
+        if STATES + k in self.answers:
+            told = np.concatenate([np.frombuffer(x, np.float64).reshape(-1, 2) for x in self.answers[STATES + k]]) if self.answers[STATES + k] else np.zeros((0, 2))
+            counts = np.flatnonzero(level.count >= LEAST)
+            level.state, level.back = np.zeros(len(level.keys), bool), np.zeros(len(level.keys))
+            level.state[counts] = (told[:, 0] >= MIN_KL) & (told[:, 0] * level.count[counts] >= MIN_GAIN)
+            level.back[counts] = told[:, 1]
+
+    def longer(self) -> Level:
+        """The sequences one longer than those of the last level of which both shorter parts count."""
+        last = self.levels[-1]
+        before = np.concatenate([[-1], last.at[:-1]])
+        places = np.flatnonzero((last.at >= 0) & (before >= 0) & self.inner)
+        key = _mixed(last.keys[before[places]] * _MIX + self.words[self.ids[places]])
+        keys, first, number = np.unique(key, return_index=True, return_inverse=True)
+        own = np.bincount(number, self.learns[places], len(keys)).astype(np.uint64)
+        return Level(keys, own, before[places][first], last.at[places][first], places, number)
+
+    def terms(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of the contexts of level k that count, and for each what this chunk adds to the sums of p, q and p ln(p / q)
+        over the symbols that follow it."""
+        level, longer = self.levels[k], self.levels[k + 1]
+        told = np.flatnonzero(longer.speaks & (longer.count >= LEAST))
+        begins = longer.begins[told]
+        p = (longer.count[told] - DISCOUNT) / level.count[begins]
+        q = 10.0 ** level.logp[longer.ends[told]]
+        sums = np.stack([np.bincount(begins, x, len(level.keys)) for x in (p, q, p * np.log(p / q))], axis=1)
+        counts = level.count >= LEAST
+        return level.keys[counts], sums[counts]
+
+    def scores(self) -> list[np.ndarray]:
+        """n_tokens, n_known, base_score and score of each text."""
+        words = self.levels[0]
+        c = words.count
+        logp = words.logp[self.ids]
+        todo = self.inner.copy()
+        for k in range(min(DEPTH, len(self.levels) - 1), -1, -1):
+            level = self.levels[k]
+            if level.state is None:
+                continue
+            context = np.concatenate([[-1], level.at[:-1]])
+            at = np.flatnonzero(todo & (context >= 0))
+            at = at[level.state[context[at]]]
+            if not len(at):
+                continue
+            whole = self.levels[k + 1].at[at] if k + 1 < len(self.levels) else np.full(len(at), -1)
+            hit = at[whole >= 0]
+            if len(hit):
+                logp[hit] += self.levels[k + 1].logp[whole[whole >= 0]] - words.logp[self.ids[hit]]
+                todo[hit] = False
+            miss = at[whole < 0]
+            logp[miss] += level.back[context[miss]]
+        total = lambda x: np.add.reduceat(np.where(self.inner, x, 0), self.starts)
+        return [self.sizes - 1, total((c > 0)[self.ids].astype(np.int64)), total(self.root.base(c)[self.ids]), total(logp)]
+
+
+# --- questions and answers ------------------------------------------------------------------------------------------
+
+ASKED = "step int, bucket long, chunk long, n long, keys binary, says binary"
+TOLD = "step int, chunk long, bucket long, n long, says binary, stats array<double>"
+
+
+def questions(step: int, chunk: int, keys: np.ndarray, says: np.ndarray, bits: int) -> Iterator[tuple]:
+    """Keys in order, by bucket: the bits at their top."""
+    cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
+    edges = [0, *cuts.tolist(), len(keys)]
+    for bucket, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+        if a < b:
+            if says.ndim == 1:
+                said = packed(says[a:b])
+            else:
+                full = np.flatnonzero(says[a:b].any(axis=1))
+                said = np.array([len(full)], np.int32).tobytes() + full.astype(np.int32).tobytes() + says[a:b][full].tobytes()
+            yield step, bucket, chunk, b - a, packed(np.diff(keys[a:b], prepend=np.uint64(0))), said
+
+
+def answer(table: pa.Table) -> pa.Table:
+    """What all chunks together say about the keys of one bucket, for each chunk in the order of its keys."""
+    rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+    step = rows[0]["step"]
+    sizes = [r["n"] for r in rows]
+    keys, first, number = np.unique(np.concatenate([np.cumsum(unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]), return_index=True, return_inverse=True)
+    stats = None
+    if step < STATES:
+        total = np.bincount(number, np.concatenate([unpacked(r["says"], r["n"]) for r in rows]).astype(float), len(keys)).astype(np.uint64)
+        if step == 0:
+            stats = [float(x) for x in (total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum())]
+        else:
+            total[total < LEAST] = 0
+        told = total[number] << np.uint64(1)
+        told[first] |= np.uint64(1)
+        blob = packed
+    else:
+        sums = np.zeros((len(keys), 3))
+        offset = 0
+        for r in rows:
+            full = int(np.frombuffer(r["says"], np.int32, 1)[0])
+            at = np.frombuffer(r["says"], np.int32, full, 4)
+            sums[number[offset : offset + r["n"]][at]] += np.frombuffer(r["says"], np.float64, 3 * full, 4 + 4 * full).reshape(-1, 3)
+            offset += r["n"]
+        p_left, q_left = (np.maximum(1 - sums[:, i], 1e-9) for i in (0, 1))
+        kl = sums[:, 2] + p_left * np.log(p_left / q_left)
+        told = np.stack([kl, np.log10(p_left / q_left)], axis=1)[number]
+
+        def blob(x: np.ndarray) -> bytes:
+            full = np.flatnonzero(x.any(axis=1))
+            return full.astype(np.int32).tobytes() + x[full].tobytes()
+
+    ends = np.cumsum(sizes)
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.float64()))
+    out = [(step, r["chunk"], r["bucket"], r["n"], blob(told[e - r["n"] : e]), stats if i == 0 else None) for i, (r, e) in enumerate(zip(rows, ends, strict=True))]
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["step", "chunk", "bucket", "n", "says", "stats"])
+
+
+def told_of(rows: list[dict], steps: list[int]) -> dict[int, list[bytes]]:
+    """Answers by step, in the order of the buckets, as plain arrays; a chunk may have asked nothing in a step."""
+    out: dict[int, list[bytes]] = {s: [] for s in steps}
+    for r in sorted(rows, key=lambda r: (r["step"], r["bucket"])):
+        if r["step"] < STATES:
+            plain = unpacked(r["says"], r["n"])
+        else:
+            full = len(r["says"]) // 20  # a number and two floats for each that is not zero
+            plain = np.zeros((r["n"], 2))
+            plain[np.frombuffer(r["says"], np.int32, full)] = np.frombuffer(r["says"], np.float64, 2 * full, 4 * full).reshape(-1, 2)
+        out[r["step"]].append(plain.tobytes())
+    return out
+
+
+class Tree:
+    """The rounds of questions over staged chunks."""
+
+    def __init__(self, staged: Staged, n_chunks: int, symbols: int):
+        n = max(1, -(-n_chunks // CHUNKS_A_TASK))
+        # dealt once and kept on disk, so that only the answers are shuffled to the chunks; what is lost is read again
+        self.held = staged.df.repartition(n, "chunk").persist(StorageLevel.DISK_ONLY)
+        self.bits = max(BUCKETS, -(-symbols // BUCKET)).bit_length() - 1
+        self.told: list[Staged] = []
+        self.steps: list[int] = []
+        self.root: Root | None = None
+
+    def answers(self) -> DataFrame:
+        out = self.told[0].df
+        for x in self.told[1:]:
+            out = out.unionByName(x.df)
+        return out.drop("stats")
+
+    def ask(self, counts: int, states: int | None) -> None:
+        """Asks for the counts of level ``counts`` (up to DEPTH) and for the states of level ``states``."""
+        bits, root, steps = self.bits, self.root, list(self.steps)
+
+        def about(row: dict, answers: list[dict]) -> pa.Table:
+            c = Chunk(row, told_of(answers, steps), root)
+            out = []
+            if counts <= DEPTH:
+                out += questions(counts, row["chunk"], c.levels[counts].keys, c.levels[counts].own, bits)
+            if states is not None:
+                out += questions(STATES + states, row["chunk"], *c.terms(states), bits)
+            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["step", "bucket", "chunk", "n", "keys", "says"])
+
+        asked = self.each(about, ASKED, ("chunk", "words", "n_words", "ids", "sizes", "learns"))
+        self.told.append(Staged(asked.groupBy("step", "bucket").applyInArrow(answer, TOLD), f"lm-told-{counts}"))
+        self.steps += [counts] * (counts <= DEPTH) + ([] if states is None else [STATES + states])
+
+    def each(self, about, shape: str, columns: tuple[str, ...]) -> DataFrame:
+        """``about(chunk's row, its answers)`` for every chunk."""
+        slim = self.held.select(*columns)
+        if not self.told:
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for b in parts(batches, 1):
+                    yield from about(b.to_pylist()[0], []).to_batches()
+
+            return slim.mapInArrow(run, shape)
+
+        def both(left: pa.Table, right: pa.Table) -> pa.Table:
+            # a chunk's row stays an Arrow table up to here, so that what it keeps is never turned into Python objects
+            row = left.drop_columns(["kept"]).to_pylist()[0] if "kept" in left.column_names else left.to_pylist()[0]
+            return about(row | ({"kept": left["kept"]} if "kept" in left.column_names else {}), right.to_pylist())
+
+        return slim.groupBy("chunk").cogroup(self.answers().groupBy("chunk")).applyInArrow(both, shape)
+
+    def learn(self) -> None:
+        self.ask(0, None)
+        n, v, n1, n2 = (int(x or 0) for x in self.told[0].df.filter("stats IS NOT NULL").agg(*[F.sum(F.col("stats")[i]) for i in range(4)]).first())
+        discount = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else DISCOUNT
+        self.root = Root(n, v, discount, max(1.0, n1 * n1 / (2 * max(n2, 1))))
+        for k in range(1, DEPTH + 1):
+            self.ask(k, k - 2 if k > 1 else None)
+        self.ask(DEPTH + 1, DEPTH - 1)
 
 
 def scores(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns ``keep`` of ``docs`` (with text and learns) with n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
-    vocab = Staged(vocabulary(docs), "vocabulary").df
-    ones = lambda k: F.count_if(F.col("c") == k)
-    n, v, seen, n1, n2 = (int(x or 0) for x in vocab.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum("seen"), ones(1), ones(2)).first())
-    root = Root(n, v, min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else DISCOUNT)
-    head = sorted(((-r.c, bytes(r.word)) for r in vocab.filter((F.col("seen") >= HEAD_SHARE * seen) | (F.col("word") == F.lit(END))).collect()))  # 1 / HEAD_SHARE + 1 at most
-    counts = np.array([-c for c, _ in head], np.int64)
-    words = int((counts >= max(2.0, SEQ_SHARE * n)).sum())
-    known, base, logp = (np.append(x, 0) for x in (counts > 0, [root.base(int(c)) for c in counts], [root.logp(int(c)) for c in counts]))  # the last is for other words
-    sent = spark.sparkContext.broadcast(({w: i for i, (_, w) in enumerate(head)}, known.astype(np.int64), base.astype(float), logp.astype(float)))
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    k = len(keep)
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, known, base, logp = sent.value
-        get, end = number.get, number.get(END, -1)
-        for b in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
-            out, rare, times, offsets = [], [], [], [0]
-            for text in b.column(k).to_pylist():
-                found = (text or b"").lower().split()
-                ids = np.empty(len(found) + 2, np.int32)
-                ids[0] = ids[-1] = end
-                ids[1:-1] = np.fromiter(map(get, found, repeat(-1)), np.int32, len(found))
-                rest = Counter([found[i] for i in np.flatnonzero(ids[1:-1] < 0)])
-                rare += rest.keys()
-                times += rest.values()
-                offsets.append(len(rare))
-                own = ids[1:]
-                out.append((len(own), int(known[own].sum()), float(base[own].sum()), float(logp[own].sum()), np.where(ids < 0, np.int32(2**31 - 1), ids).tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
-            cols = [pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)]
-            rest_ = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], names=["word", "times"]))
-            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in range(k)], b.column(k + 1), b.column(k + 2), *cols, rest_], names=[*keep, "learns", "__row", "n_tokens", "known", "base", "logp", "ids", "rest"])
-
-    numbered = docs.select(*keep, F.col("text").cast("binary").alias("text"), "learns", F.monotonically_increasing_id().alias("__row"))
-    shape = [*fields, "learns boolean", "__row long", "n_tokens long", "known long", "base double", "logp double", "ids binary", "rest array<struct<word:binary,times:long>>"]
-    encoded = Staged(numbered.mapInArrow(encode, ", ".join(shape)), "encoded").df
-    tree = spark.sparkContext.broadcast(grow(encoded, root, counts, words))
-
-    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (part for whole in batches for part in _slices(whole, whole.num_columns - 1)):
-            ids, starts = _texts(b.column(b.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(beyond_root(tree.value, ids, starts))], names=[*b.schema.names[:-1], "beyond"])
-
-    rows = encoded.select(*keep, "__row", "n_tokens", "known", "base", "logp", "ids").mapInArrow(contexts, ", ".join([*fields, "__row long, n_tokens long, known long, base double, logp double, beyond double"]))
-    rest = encoded.select("__row", F.explode("rest").alias("r")).select("__row", "r.word", "r.times").join(vocab.select("word", "c"), "word")
-    c = F.col("c")
-    rated = rest.select("__row", (F.col("times") * (c > 0).cast("long")).alias("known"), (F.col("times") * F.log10((c + 1) / F.lit(float(n + v + 1)))).alias("base"), (F.col("times") * F.when(c > 0, F.log10((c - root.discount) / F.lit(float(max(n, 1))))).otherwise(root.logp(0))).alias("logp"))
-    sums = rated.groupBy("__row").agg(*[F.sum(x).alias(f"r_{x}") for x in ("known", "base", "logp")])
-    both = rows.join(sums, "__row", "left")
-    whole = lambda x: F.col(x) + F.coalesce(F.col(f"r_{x}"), F.lit(0))
-    return both.select(*keep, "n_tokens", whole("known").alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), whole("base").alias("base_score"), (whole("logp") + F.col("beyond")).alias("score"))
+    names = [f"k{i}" for i in range(len(keep))]  # whatever the kept columns are called
+    slim = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(keep, names, strict=True)], "text", "learns")
+    staged = Staged(chunks(slim.withColumn("row", F.lit(True)), (*names, "row")), "lm-chunks", CHUNKS_A_FILE)
+    n_chunks, symbols = staged.df.agg(F.count("*"), F.sum(F.length("ids"))).first()
+    tree = Tree(staged, n_chunks, symbols or 0)
+    tree.learn()
+    root, steps = tree.root, list(tree.steps)
+    fields = [f"{x} {slim.schema[x].dataType.simpleString()}" for x in names]
+
+    def rated(row: dict, answers: list[dict]) -> pa.Table:
+        c = Chunk(row, told_of(answers, steps), root)
+        kept = pa.concat_arrays([x for x in row["kept"].chunks]).flatten()
+        tokens, known, base, score = c.scores()
+        cols = [*[kept.field(i) for i in range(len(names))], pa.array(tokens), pa.array(known), pa.array(base), pa.array(score)]
+        return pa.Table.from_arrays(cols, names=[*names, "n_tokens", "n_known", "base_score", "score"])
+
+    shape = ", ".join([*fields, "n_tokens long, n_known long, base_score double, score double"])
+    out = Staged(tree.each(rated, shape, ("chunk", "words", "n_words", "ids", "sizes", "learns", "kept")), "lm-scores").df
+    tree.held.unpersist()
+    for x in (*tree.told, staged):
+        x.drop()
+    return out.select(*[F.col(x).alias(c) for x, c in zip(names, keep, strict=True)], "n_tokens", "n_known", F.lit(root.n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
