@@ -33,6 +33,19 @@ def shingle_texts(words: Column) -> Column:
     return F.when(F.size(words) > 0, joined).otherwise(F.array().cast("array<string>"))
 
 
+def run_hashes(words: Column, n: int) -> Column:
+    """Hashes of the runs of n words, in order; none if there are fewer words. Runs of different n have different hashes."""
+    starts = F.sequence(F.lit(0), F.size(words) - n)
+    hashed = F.transform(starts, lambda i: F.xxhash64(*[F.get(words, i + j) for j in range(n)]))
+    return F.when(F.size(words) >= n, hashed).otherwise(F.array().cast("array<bigint>"))
+
+
+def run_texts(words: Column, n: Column) -> Column:
+    """The runs of n words themselves, in order."""
+    joined = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+    return F.when(F.size(words) >= n, joined).otherwise(F.array().cast("array<string>"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, text): rows that agree in both keys are copies."""
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
