@@ -5,7 +5,7 @@ in order of rejection per cost, and the first that rejects a document ends its c
 conjunction of all rules, so the order decides about time only, never about the result.
 
 Base measures are taken of every whole text. The sample holds the SAMPLE documents with the smallest hash of their
-id; it is used for the order alone.
+id; it is used for the order alone, and a rule that reads base measures only costs next to nothing there.
 
 Defined cases: a null or empty text has no words and fails the base rules; rows are judged one by one, so repeated
 rows get the same verdict; an empty table gives no rows; other columns of the input are not read.
@@ -31,6 +31,7 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEATED = 30
+BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 class Text:
@@ -96,6 +97,14 @@ class Text:
         codes = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in (self.text, low, up)]
         return int((codes[0] != codes[1]).sum()), int((codes[1] != codes[2]).sum())
 
+    def measured(self) -> Text:
+        """The same text with the base measures and nothing else."""
+        out = Text.__new__(Text)
+        out.text, out.words = self.text, self.words
+        for name in BASE:
+            setattr(out, name, getattr(self, name))
+        return out
+
     @property
     def base_failed(self) -> bool:
         return self.n_words < MIN_WORDS or 100 * self.n_repeat_words > MAX_REPEATED * self.n_words
@@ -115,8 +124,8 @@ RULES: dict[str, Callable[[Text], bool]] = {
 
 
 def measure(spark: SparkSession, docs: DataFrame) -> list[tuple[str, float, float]]:
-    """(rule, nanoseconds, share rejected) for every rule, from the sample; fresh measures for each rule, so that no
-    rule profits from another's."""
+    """(rule, nanoseconds, share rejected) for every rule, from the sample. A rule is timed after the base measures, which every
+    text gets anyway, but with nothing that another rule has measured."""
     ids = [r[0] for r in docs.select("doc_id").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(SAMPLE).collect()]
     names = list(RULES)
 
@@ -124,10 +133,11 @@ def measure(spark: SparkSession, docs: DataFrame) -> list[tuple[str, float, floa
         for b in parts(batches):
             out = []
             for text in b.column(0).to_pylist():
-                if Text(text).base_failed:
+                base = Text(text)
+                if base.base_failed:
                     continue
                 for name in names:
-                    t = Text(text)
+                    t = base.measured()
                     began = time.perf_counter_ns()
                     bad = RULES[name](t)
                     out.append((name, float(time.perf_counter_ns() - began), float(bad)))
