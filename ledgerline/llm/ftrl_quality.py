@@ -1,20 +1,24 @@
 """Quality scores: logistic regression on hashed word n-grams, trained by FTRL, scored as sparse dot products.
 
-Features of a whole text: its words and word pairs, hashed into 2 ** BITS weights, and one- to three-word sequences of
-word shapes (case, length, digits, marks, equal to the word before), hashed beside them. A group's features weigh
-together 1, so texts of any length compare.
+Features of a whole text: sequences of one to three tokens, hashed into 2 ** BITS signed places. Tokens are runs of
+letters and digits, as they are written, and runs of other marks; a token equal to the one before it is the token AGAIN, so that
+stuttering is one sequence whatever is repeated. The sequences of a length weigh together 1, so texts of any length
+compare.
 
 The model is fitted on the driver from at most SAMPLE labelled documents, those with the smallest hash of their id
-(``labels`` names the rows; the fold that is held out is never read for it); scoring is over all documents.
+(``labels`` names the rows; the fold that is held out is never read for it), and from SAMPLE_BYTES of text at most: fewer
+are drawn if they are long, none is cut, and one above a sixteenth of that is not drawn. Scoring is over all documents.
 
-Defined cases: a null text is empty; an empty text is scored by the bias and the marks of emptiness; a document with
+Defined cases: a null text is empty; an empty text is scored by the bias and the place of emptiness; a document with
 several labels counts with their mean (0.5 and above: 1), one with several rows with the first text; without any
 label, or with one class only, every score is 0.5; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,71 +26,48 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import id_crc, parts, read
+from .common import bounded_texts, id_crc, parts, read
 from .ftrl import Ftrl, Row, probabilities
 
-BITS, SHAPE_BITS = 18, 12
-SAMPLE, EPOCHS = 6000, 3
+BITS, LENGTHS = 20, 3
+SIZE = 1 << BITS
+SAMPLE, SAMPLE_BYTES, EPOCHS = 6000, 128 << 20, 4
 CUT = 0.3
-MEMORY = 1 << 18  # words whose hash and shape a task remembers
+MEMORY = 1 << 18  # words whose tokens a task remembers
+AGAIN = np.uint64(0x5851F42D4C957F2D)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def shape(word: bytes) -> int:
-    """A word's look in few bits: letters, case, digits, how it ends, whether it has marks, about how long it is."""
-    text = word.decode("utf-8", "replace")
-    core = text.strip(".,;:!?\"'()")
-    letters = core.isalpha()
-    case = 0 if core.islower() else 1 if core.istitle() else 2 if core.isupper() else 3
-    length = 0 if len(text) < 3 else 1 if len(text) < 8 else 2 if len(text) < 16 else 3
-    marks = min(3, sum(c in "#*$%&|<>" for c in text))
-    return letters << 9 | case << 7 | length << 5 | marks << 3 | any(c.isdigit() for c in text) << 2 | text.endswith("!") << 1 | (text[-1:] in ",;:")
+_TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 
 class Memory(dict):
-    """word: (hash, shape); starts anew when full."""
+    """word: the hashes of its tokens; starts anew when full."""
 
-    def __missing__(self, word: bytes) -> tuple[int, int]:
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
         if len(self) >= MEMORY:
             self.clear()
-        core = word.lower().strip(b".,;:!?\"'()")
-        self[word] = found = (xxhash.xxh64_intdigest(core), shape(word))
+        self[word] = found = tuple(xxhash.xxh64_intdigest(t) for t in _TOKEN.findall(word.decode("utf-8", "replace")))
         return found
 
 
-def features(text: str | None, memory: Memory) -> list[np.ndarray]:
-    """Groups of hashed features of a whole text, with repeats."""
-    words = (text or "").encode().split()
-    n = len(words)
-    if not n:
-        return [np.array([0])]
-    hashes, shapes = (np.array(x, np.uint64) for x in zip(*map(memory.__getitem__, words), strict=True))
-    same = np.zeros(n, np.uint64)
-    same[1:] = hashes[1:] == hashes[:-1]
-    shapes = shapes | same << np.uint64(10)
-    top = np.uint64(64 - BITS)
-    low = np.uint64(64 - SHAPE_BITS)
-    base = 1 << BITS
-    groups = [(hashes * _MIX >> top).astype(np.int64)]
-    if n > 1:
-        groups.append(((hashes[:-1] * np.uint64(31) + hashes[1:]) * _MIX >> top).astype(np.int64))
-    groups.append(base + ((shapes + np.uint64(1)) * _MIX >> low).astype(np.int64))
-    two = shapes[:-1] << np.uint64(11) | shapes[1:]
-    if n > 1:
-        groups.append(base + ((two + np.uint64(1 << 23)) * _MIX >> low).astype(np.int64))
-    if n > 2:
-        three = two[:-1] << np.uint64(11) | shapes[2:]
-        groups.append(base + ((three + np.uint64(1 << 35)) * _MIX >> low).astype(np.int64))
-    return groups
-
-
-SIZE = (1 << BITS) + (1 << SHAPE_BITS)
-
-
-def sparse(groups: list[np.ndarray]) -> Row:
+def features(text: str | None, memory: Memory) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and signs of the sequences of a whole text, with repeats, by length."""
+    h = np.fromiter(chain.from_iterable(map(memory.__getitem__, (text or "").encode().split())), np.uint64)
+    if not len(h):
+        return [(np.array([0]), np.array([1.0]))]
+    token = h.copy()
+    token[1:][h[1:] == h[:-1]] = AGAIN
+    out, gram = [], np.zeros(len(token) + 1, np.uint64)
+    for _ in range(min(LENGTHS, len(token))):
+        gram = (gram[:-1] ^ gram[:-1] >> np.uint64(29)) * _MIX + token[len(token) - len(gram) + 1 :]
+        mixed = (gram ^ gram >> np.uint64(32)) * _MIX
+        out.append(((mixed >> np.uint64(64 - BITS)).astype(np.int64), 1.0 - 2.0 * (mixed >> np.uint64(20) & np.uint64(1))))
+    return out
+
+
+def sparse(groups: list[tuple[np.ndarray, np.ndarray]]) -> Row:
     """The same as sorted indexes and values."""
-    at = np.concatenate(groups)
-    x = np.concatenate([np.full(len(g), 1 / len(g)) for g in groups])
+    at = np.concatenate([g for g, _ in groups])
+    x = np.concatenate([sign / len(g) for g, sign in groups])
     index, back = np.unique(at, return_inverse=True)
     return index, np.bincount(back, x)
 
@@ -111,7 +92,7 @@ def score(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (w, b), memory = sent.value, Memory()
         for batch in parts(batches):
-            logits = [b + sum(float(w[g].mean()) for g in features(t, memory)) for t in batch.column(2).to_pylist()]
+            logits = [b + sum(float((w[g] * sign).mean()) for g, sign in features(t, memory)) for t in batch.column(2).to_pylist()]
             p = [float(probabilities(np.array([x]))[0]) for x in logits]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p, pa.float64()), pa.array([int(x >= CUT) for x in p], pa.int32())], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -124,7 +105,7 @@ def sample(docs: DataFrame, labels: DataFrame, learns: Column, label: str, most:
     marked = labels.filter(learns & F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y"))
     few = F.broadcast(marked.orderBy(order, "doc_id").limit(most))
     texts = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
-    return [(r.text, r.y) for r in texts.orderBy(order, "doc_id").collect()]
+    return [(r.text, r.y) for r in bounded_texts(texts.withColumn("at", order), "at", most, SAMPLE_BYTES)]
 
 
 def op1_ftrl_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
