@@ -12,12 +12,13 @@ BINS = 32
 @dataclass
 class Boosted:
     """Complete trees of ``depth`` questions (is the bin of a feature above a threshold), one for each class a round;
-    softmax loss, Newton steps."""
+    softmax loss, Newton steps, a round's trees from a sample of the rows."""
 
     classes: int
     rounds: int = 40
     depth: int = 4
     rate: float = 0.25
+    share: float = 0.25  # of the rows, drawn anew for every round
     l2: float = 1.0
     edges: list[np.ndarray] = field(default_factory=list)
     start: np.ndarray | None = None
@@ -36,10 +37,13 @@ class Boosted:
         target = np.eye(self.classes)[y]
         self.start = np.log(target.mean(axis=0) + 1e-6)
         raw = np.tile(self.start, (len(x), 1))
+        draw = np.random.default_rng(len(x))
         for _ in range(self.rounds):
-            p = _softmax(raw)
+            at = np.sort(draw.choice(len(x), max(1, int(self.share * len(x))), replace=False))
+            some, some_marks = np.asfortranarray(bins[at]), marks[at]
+            p = _softmax(raw[at])
             for k in range(self.classes):
-                tree = self._tree(bins, binary, marks, p[:, k] - target[:, k], p[:, k] * (1 - p[:, k]))
+                tree = self._tree(some, binary, some_marks, p[:, k] - target[at, k], p[:, k] * (1 - p[:, k]))
                 self.trees.append((k, *tree))
                 raw[:, k] += tree[2][self._leaf(bins, tree)]
         return self

@@ -1,7 +1,8 @@
 """Main text of web pages: gradient-boosted trees over the nodes of the page's tree, decoded from the root down.
 
 Every block is a container of main text and other things, main text, or neither. The classifier's features are the
-kind of element, the tokens of its attributes, its depth, the size and density of its subtree (text, links, marks of
+kind of element, the words of its attributes (hashed into TOKENS places, and by the groups of names that authors give to
+regions; the groups also of what is above it), its depth, the size and density of its subtree (text, links, marks of
 sentences, paragraphs, controls), its share of the page and of its parent, and its place among its siblings.
 Decoding takes the most probable labelling of the whole tree in which nothing inside a dropped block is kept: a
 container may hold anything, main text may hold main text or dropped blocks, a dropped block holds dropped blocks only.
@@ -19,11 +20,13 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from .boosted_trees import Boosted
@@ -57,8 +60,10 @@ NAMES = (
 )
 _NAMES = [re.compile(n, re.I) for n in NAMES]
 _KIND = {tag: i for i, tags in enumerate(KINDS) for tag in tags.split()}
+_WORDS = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-N_FEATURES = len(KINDS) + 3 * len(NAMES) + 24
+TOKENS = 64  # places of hashed words of attributes
+N_FEATURES = len(KINDS) + 3 * len(NAMES) + TOKENS + 24
 
 
 @lru_cache(maxsize=4096)
@@ -67,6 +72,13 @@ def named(attrs: str) -> tuple[bool, ...]:
     return tuple(bool(n.search(spaced)) for n in _NAMES) if attrs else (False,) * len(NAMES)
 
 
+@lru_cache(maxsize=4096)
+def tokens(attrs: str) -> np.ndarray:
+    """The places of the words of an element's attributes."""
+    found = _WORDS.findall(_CAMEL.sub("-", attrs).lower())
+    return np.array(sorted({xxhash.xxh64_intdigest(w) % TOKENS for w in found}), int)
+
+
 def features(nodes: list[Node]) -> np.ndarray:
     """A row for each node."""
     n = len(nodes)
@@ -90,6 +102,11 @@ def features(nodes: list[Node]) -> np.ndarray:
     k, m = len(KINDS), len(NAMES)
     above = np.zeros((n, m), bool)
     largest = [max((sums[c, 0] for c in node.children), default=0.0) for node in nodes]
+    place, previous, alike = np.zeros(n, int), np.full(n, -1), np.zeros(n, int)
+    for node in nodes:  # every node is a child once, so this is linear in the page
+        tags = Counter(nodes[c].tag for c in node.children)
+        for at, c in enumerate(node.children):
+            place[c], previous[c], alike[c] = at, node.children[at - 1] if at else -1, tags[nodes[c].tag]
     for i, node in enumerate(nodes):
         row, s, p = out[i], sums[i], max(node.parent, 0)
         kind = _KIND.get(node.tag, 5)
@@ -99,14 +116,12 @@ def features(nodes: list[Node]) -> np.ndarray:
         row[k + m : k + 2 * m] = above[p]
         row[k + 2 * m : k + 3 * m] = named(nodes[p].attrs)
         above[i] = above[p] | np.array(names)
-        siblings = nodes[p].children
-        place = siblings.index(i) if i in siblings else 0
-        previous = nodes[siblings[place - 1]] if place else None
+        row[k + 3 * m + tokens(node.attrs)] = 1
         text = max(1.0, s[0])
-        row[k + 3 * m :] = (
+        row[k + 3 * m + TOKENS :] = (
             depth[i], np.log1p(s[0]), np.log1p(own[i]), s[1] / text, np.log1p(s[2]), 100 * s[3] / text, np.log1p(s[4]), np.log1p(s[5]),
             s[0] / max(1.0, s[5]), s[6], s[7], s[0] / total, s[0] / max(1.0, sums[p, 0]), largest[i] / text, order[i] / total, (order[i] + s[0]) / total,
-            place, len(siblings), sum(nodes[c].tag == node.tag for c in siblings), _KIND.get(previous.tag, 5) if previous else -1,
+            place[i], len(nodes[p].children), alike[i], _KIND.get(nodes[previous[i]].tag, 5) if previous[i] >= 0 else -1,
             _KIND.get(nodes[p].tag, 5), len(node.children), s[2] * 100 / text, "©" in node.text[0] if node.text else 0,
         )
     return out
