@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from py4j.java_gateway import JavaObject, JVMView
@@ -45,6 +46,24 @@ class Staged:
             _remove(*_staged.pop(self.path), self.path)
 
 
+class Bucketed:
+    """The same in buckets by a column: what is joined or grouped by it is not shuffled. A table of the session that has its files
+    in the shared folder."""
+
+    def __init__(self, df: DataFrame, name: str, by: str, n: int):
+        self.spark, unique = df.sparkSession, uuid.uuid4().hex
+        self.path = f"{shared_dir(self.spark)}/ledgerline/{name}-{unique}"
+        self.table = f"{name}_{unique}".replace("-", "_")
+        _staged[self.path] = (self.spark._jvm, self.spark._jsc.hadoopConfiguration())
+        df.write.bucketBy(n, by).option("path", self.path).format("parquet").saveAsTable(self.table)
+        self.df = self.spark.table(self.table)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.path in _staged:
+            _remove(*_staged.pop(self.path), self.path)
+
+
 @atexit.register
 def _tidy() -> None:
     for path, (jvm, conf) in _staged.items():
@@ -54,6 +73,19 @@ def _tidy() -> None:
             return
 
 
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when the job that wrote them ends, not when the driver forgets it: for operators that go over the
+    data in rounds, each of which stages its result. A part that is lost later is computed again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def bounded_texts(df: DataFrame, order: str, rows: int, size: int) -> list[Row]:
     """Rows of ``df`` (with text) on the driver, in the order of a hash: as many as have ``size`` bytes of text together, ``rows``
     at most. No text is cut; one of over a sixteenth of ``size`` is not among them."""

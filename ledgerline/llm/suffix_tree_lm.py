@@ -28,17 +28,17 @@ own; other columns are not read. Keys stand for words and sequences: two that sh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, id_crc, parts, read
+from .common import Bucketed, Staged, id_crc, parts, read, short_lived_shuffles
 
 DEPTH = 3
 LEAST = 2
@@ -46,7 +46,7 @@ SEQ_SHARE = 0.0  # a sequence needs no share of all symbols: LEAST alone decides
 MIN_KL, MIN_GAIN = 0.005, 10.0
 DISCOUNT = 0.5
 END = b"\n"  # no word has this byte
-CHUNK = 1 << 19  # symbols
+CHUNK = 1 << 20  # symbols
 BUCKET = 1 << 21  # symbols of the corpus for each bucket of keys
 BUCKETS = 64  # at least
 CHUNKS_A_TASK, CHUNKS_A_FILE = 2, 8
@@ -90,6 +90,34 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
+def squeezed(x: np.ndarray) -> bytes:
+    """The same, compressed, for numbers most of which are equal or small."""
+    raw = packed(x)
+    return len(raw).to_bytes(4, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes, n: int) -> np.ndarray:
+    return unpacked(pa.decompress(data[4:], int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True), n)
+
+
+def blocks(*parts_: bytes) -> bytes:
+    return b"".join(len(x).to_bytes(4, "little") + x for x in parts_)
+
+
+def unblocked(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 4], "little")
+        out.append(data[at + 4 : at + 4 + n])
+        at += 4 + n
+    return out
+
+
+def steps_of(places: np.ndarray) -> bytes:
+    """Places in order, as the steps between them."""
+    return squeezed(np.diff(places, prepend=0))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ x >> np.uint64(31)) * _MIX2
     return x ^ x >> np.uint64(29)
@@ -98,9 +126,12 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 # --- chunks ---------------------------------------------------------------------------------------------------------
 
 
+NUMBERS = ("chunk", "words", "times", "n_words", "ids", "n_ids", "sizes", "learns")
+
+
 def chunks(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-    """(chunk, words, n_words, ids, sizes, learns, kept) of docs (keep, text, learns): the distinct words of some texts
-    as keys in order, each symbol's number among them, how many symbols each text has, whether it is learned from."""
+    """(NUMBERS, kept) of docs (keep, text, learns): the distinct words of some texts as keys in order, how often each occurs,
+    each symbol's rank among them by that, how many symbols each text has, whether it is learned from."""
     k = len(keep)
     inner = ", ".join(f"`{c}`: {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -117,12 +148,15 @@ def chunks(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
             words, ids = np.unique(np.concatenate(hashes), return_inverse=True)
             kept = pa.concat_arrays([pa.StructArray.from_arrays(b.columns[:k], names=list(keep)) for b in rows])
             one = lambda x, kind: pa.array([x], kind)
-            cols = [one(number, pa.int64()), one(packed(np.diff(words, prepend=np.uint64(0))), pa.binary()), one(len(words), pa.int64()), one(packed(ids), pa.binary()), one(packed(np.array(sizes)), pa.binary()), one(np.array(learned, bool).tobytes(), pa.binary())]
+            times = np.bincount(ids, minlength=len(words))
+            rank = np.empty(len(words), np.int64)
+            rank[np.argsort(-times, kind="stable")] = np.arange(len(words))  # frequent words get small numbers, which compress
+            cols = [one(number, pa.int64()), one(packed(np.diff(words, prepend=np.uint64(0))), pa.binary()), one(squeezed(times), pa.binary()), one(len(words), pa.int64()), one(squeezed(rank[ids]), pa.binary()), one(len(ids), pa.int64()), one(packed(np.array(sizes)), pa.binary()), one(np.array(learned, bool).tobytes(), pa.binary())]
             cols.append(pa.ListArray.from_arrays(pa.array([0, len(kept)], pa.int32()), kept))
             for x in (hashes, sizes, learned, rows):
                 x.clear()
             held, number = 0, number + 1
-            return pa.RecordBatch.from_arrays(cols, names=["chunk", "words", "n_words", "ids", "sizes", "learns", "kept"])
+            return pa.RecordBatch.from_arrays(cols, names=[*NUMBERS, "kept"])
 
         for b in parts(batches, 200):
             for text, learns in zip(b.column(k).to_pylist(), b.column(k + 1).to_pylist(), strict=True):
@@ -140,7 +174,7 @@ def chunks(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         if rows:
             yield cut()
 
-    shape = f"chunk long, words binary, n_words long, ids binary, sizes binary, learns binary, kept array<struct<{inner}>>"
+    shape = f"chunk long, words binary, times binary, n_words long, ids binary, n_ids long, sizes binary, learns binary, kept array<struct<{inner}>>"
     return docs.select(*keep, F.col("text").cast("binary").alias("text"), "learns").mapInArrow(run, shape)
 
 
@@ -167,14 +201,15 @@ class Level:
 class Chunk:
     """A chunk with what it has been told: answers by step, in the order of the keys it asked for."""
 
-    def __init__(self, row: dict, answers: dict[int, list[bytes]], root: Root | None):
+    def __init__(self, row: dict, answers: dict[int, list[tuple[int, bytes]]], root: Root | None):
         self.root = root
         self.answers = answers
         self.words = np.cumsum(unpacked(row["words"], row["n_words"]), dtype=np.uint64)
         learns = np.frombuffer(row["learns"], bool)
         self.sizes = unpacked(row["sizes"], len(learns)).astype(np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.ids = unpacked(row["ids"], int(self.sizes.sum())).astype(np.int64)
+        by_rank = np.argsort(-unsqueezed(row["times"], row["n_words"]).astype(np.int64), kind="stable")
+        self.ids = by_rank[unsqueezed(row["ids"], row["n_ids"]).astype(np.int64)]
         self.learns = np.repeat(learns, self.sizes)
         self.inner = np.ones(len(self.ids), bool)
         self.inner[self.starts] = False
@@ -190,7 +225,7 @@ class Chunk:
         self.levels.append(level)
         if k not in self.answers:
             return
-        told = np.concatenate([np.frombuffer(x, np.uint64) for x in self.answers[k]]) if self.answers[k] else np.zeros(0, np.uint64)
+        told = np.concatenate([np.zeros(0, np.uint64), *[unsqueezed(x, n) for n, x in self.answers[k]]])
         level.count, level.speaks = (told >> np.uint64(1)).astype(np.int64), (told & np.uint64(1)).astype(bool)
         level.at = np.full(len(self.ids), -1)
         good = level.count[level.number] >= LEAST
@@ -207,11 +242,15 @@ class Chunk:
                 p = np.log10((level.count - DISCOUNT) / shorter.count[level.begins])
             level.logp = np.where(shorter.state[level.begins], p, shorter.logp[level.ends])
         if STATES + k in self.answers:
-            told = np.concatenate([np.frombuffer(x, np.float64).reshape(-1, 2) for x in self.answers[STATES + k]]) if self.answers[STATES + k] else np.zeros((0, 2))
             counts = np.flatnonzero(level.count >= LEAST)
             level.state, level.back = np.zeros(len(level.keys), bool), np.zeros(len(level.keys))
-            level.state[counts] = (told[:, 0] >= MIN_KL) & (told[:, 0] * level.count[counts] >= MIN_GAIN)
-            level.back[counts] = told[:, 1]
+            first = 0
+            for n, told in self.answers[STATES + k]:
+                at, back = unblocked(told)
+                back = np.frombuffer(back, np.float32)
+                states = counts[first + np.cumsum(unsqueezed(at, len(back)).astype(np.int64))]
+                level.state[states], level.back[states] = True, back
+                first += n
 
     def longer(self) -> Level:
         """The sequences one longer than those of the last level of which both shorter parts count."""
@@ -223,17 +262,20 @@ class Chunk:
         own = np.bincount(number, self.learns[places], len(keys)).astype(np.uint64)
         return Level(keys, own, before[places][first], last.at[places][first], places, number)
 
-    def terms(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Keys of the contexts of level k that count, and for each what this chunk adds to the sums of p, q and p ln(p / q)
-        over the symbols that follow it."""
+    def terms(self, k: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
+        """Keys of the contexts of level k that count; the places among them of those that this chunk speaks for a sequence of;
+        and of these, how many sequences it speaks for, how often they occur in all, how often the context does, and the sums
+        of q and p ln(p / q) over the symbols that follow it."""
         level, longer = self.levels[k], self.levels[k + 1]
         told = np.flatnonzero(longer.speaks & (longer.count >= LEAST))
-        begins = longer.begins[told]
-        p = (longer.count[told] - DISCOUNT) / level.count[begins]
+        begins, n = longer.begins[told], longer.count[told]
+        p = (n - DISCOUNT) / level.count[begins]
         q = 10.0 ** level.logp[longer.ends[told]]
-        sums = np.stack([np.bincount(begins, x, len(level.keys)) for x in (p, q, p * np.log(p / q))], axis=1)
-        counts = level.count >= LEAST
-        return level.keys[counts], sums[counts]
+        kinds, often, q_sum, kl = (np.bincount(begins, x, len(level.keys)) for x in (np.ones(len(told)), n, q, p * np.log(p / q)))
+        counts = np.flatnonzero(level.count >= LEAST)
+        at = np.flatnonzero(kinds[counts])
+        own = counts[at]
+        return level.keys[counts], at, (kinds[own].astype(np.uint64), often[own].astype(np.uint64), level.count[own].astype(np.uint64), q_sum[own], kl[own].astype(np.float32))
 
     def scores(self) -> list[np.ndarray]:
         """n_tokens, n_known, base_score and score of each text."""
@@ -267,69 +309,63 @@ ASKED = "step int, bucket long, chunk long, n long, keys binary, says binary"
 TOLD = "step int, chunk long, bucket long, n long, says binary, stats array<double>"
 
 
-def questions(step: int, chunk: int, keys: np.ndarray, says: np.ndarray, bits: int) -> Iterator[tuple]:
-    """Keys in order, by bucket: the bits at their top."""
+def questions(step: int, chunk: int, keys: np.ndarray, bits: int, says: Callable[[int, int], bytes]) -> Iterator[tuple]:
+    """Keys in order, by bucket: the bits at their top; with what is said about those from one place to another."""
     cuts = np.searchsorted(keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
     edges = [0, *cuts.tolist(), len(keys)]
     for bucket, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
         if a < b:
-            if says.ndim == 1:
-                said = packed(says[a:b])
-            else:
-                full = np.flatnonzero(says[a:b].any(axis=1))
-                said = np.array([len(full)], np.int32).tobytes() + full.astype(np.int32).tobytes() + says[a:b][full].tobytes()
-            yield step, bucket, chunk, b - a, packed(np.diff(keys[a:b], prepend=np.uint64(0))), said
+            yield step, bucket, chunk, b - a, packed(np.diff(keys[a:b], prepend=np.uint64(0))), says(a, b)
 
 
 def answer(table: pa.Table) -> pa.Table:
     """What all chunks together say about the keys of one bucket, for each chunk in the order of its keys."""
     rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
     step = rows[0]["step"]
-    sizes = [r["n"] for r in rows]
     keys, first, number = np.unique(np.concatenate([np.cumsum(unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]), return_index=True, return_inverse=True)
+    starts = np.cumsum([0, *[r["n"] for r in rows]])
     stats = None
     if step < STATES:
-        total = np.bincount(number, np.concatenate([unpacked(r["says"], r["n"]) for r in rows]).astype(float), len(keys)).astype(np.uint64)
+        total = np.bincount(number, np.concatenate([unsqueezed(r["says"], r["n"]) for r in rows]).astype(float), len(keys)).astype(np.uint64)
         if step == 0:
             stats = [float(x) for x in (total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum())]
         else:
             total[total < LEAST] = 0
         told = total[number] << np.uint64(1)
         told[first] |= np.uint64(1)
-        blob = packed
+        tell = lambda a, b: squeezed(told[a:b])
     else:
-        sums = np.zeros((len(keys), 3))
-        offset = 0
-        for r in rows:
-            full = int(np.frombuffer(r["says"], np.int32, 1)[0])
-            at = np.frombuffer(r["says"], np.int32, full, 4)
-            sums[number[offset : offset + r["n"]][at]] += np.frombuffer(r["says"], np.float64, 3 * full, 4 + 4 * full).reshape(-1, 3)
-            offset += r["n"]
-        p_left, q_left = (np.maximum(1 - sums[:, i], 1e-9) for i in (0, 1))
-        kl = sums[:, 2] + p_left * np.log(p_left / q_left)
-        told = np.stack([kl, np.log10(p_left / q_left)], axis=1)[number]
-
-        def blob(x: np.ndarray) -> bytes:
-            full = np.flatnonzero(x.any(axis=1))
-            return full.astype(np.int32).tobytes() + x[full].tobytes()
-
-    ends = np.cumsum(sizes)
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.float64()))
-    out = [(step, r["chunk"], r["bucket"], r["n"], blob(told[e - r["n"] : e]), stats if i == 0 else None) for i, (r, e) in enumerate(zip(rows, ends, strict=True))]
-    return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["step", "chunk", "bucket", "n", "says", "stats"])
-
-
-def told_of(rows: list[dict], steps: list[int]) -> dict[int, list[bytes]]:
-    """Answers by step, in the order of the buckets, as plain arrays; a chunk may have asked nothing in a step."""
-    out: dict[int, list[bytes]] = {s: [] for s in steps}
+        kinds, often, c, q, kl = (np.zeros(len(keys)) for _ in range(5))
+        for r, start in zip(rows, starts, strict=False):
+            *whole, q_sum, part = unblocked(r["says"])
+            part = np.frombuffer(part, np.float32)
+            at, n_kinds, n, of = (unsqueezed(x, len(part)).astype(np.int64) for x in whole)
+            at = number[start + np.cumsum(at)]  # a chunk has a key once
+            kinds[at] += n_kinds
+            often[at] += n
+            c[at] = of
+            q[at] += np.frombuffer(q_sum, np.float64)
+            kl[at] += part
+        p_left = np.maximum(1 - (often - DISCOUNT * kinds) / np.maximum(c, 1), 1e-9)
+        q_left = np.maximum(1 - q, 1e-9)
+        kl += p_left * np.log(p_left / q_left)
+        state = ((kl >= MIN_KL) & (kl * c >= MIN_GAIN))[number]
+        back = np.log10(p_left / q_left).astype(np.float32)[number]
+
+        def tell(a: int, b: int) -> bytes:
+            at = np.flatnonzero(state[a:b])
+            return blocks(steps_of(at), back[a:b][at].tobytes())
+
+    kinds_ = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.float64()))
+    out = [(step, r["chunk"], r["bucket"], r["n"], tell(a, a + r["n"]), None if a else stats) for r, a in zip(rows, starts.tolist(), strict=False)]
+    return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds_)], names=["step", "chunk", "bucket", "n", "says", "stats"])
+
+
+def told_of(rows: list[dict], steps: list[int]) -> dict[int, list[tuple[int, bytes]]]:
+    """Answers by step, in the order of the buckets, with the number of keys; a chunk may have asked nothing in a step."""
+    out: dict[int, list[tuple[int, bytes]]] = {s: [] for s in steps}
     for r in sorted(rows, key=lambda r: (r["step"], r["bucket"])):
-        if r["step"] < STATES:
-            plain = unpacked(r["says"], r["n"])
-        else:
-            full = len(r["says"]) // 20  # a number and two floats for each that is not zero
-            plain = np.zeros((r["n"], 2))
-            plain[np.frombuffer(r["says"], np.int32, full)] = np.frombuffer(r["says"], np.float64, 2 * full, 4 * full).reshape(-1, 2)
-        out[r["step"]].append(plain.tobytes())
+        out[r["step"]].append((r["n"], r["says"]))
     return out
 
 
@@ -337,9 +373,9 @@ class Tree:
     """The rounds of questions over staged chunks."""
 
     def __init__(self, staged: Staged, n_chunks: int, symbols: int):
-        n = max(1, -(-n_chunks // CHUNKS_A_TASK))
-        # dealt once and kept on disk, so that only the answers are shuffled to the chunks; what is lost is read again
-        self.held = staged.df.repartition(n, "chunk").persist(StorageLevel.DISK_ONLY)
+        # in buckets by chunk, so that in every round only the answers are shuffled to the chunks
+        self.held = Bucketed(staged.df, "lm-chunks-dealt", "chunk", max(1, -(-n_chunks // CHUNKS_A_TASK)))
+        staged.drop()
         self.bits = max(BUCKETS, -(-symbols // BUCKET)).bit_length() - 1
         self.told: list[Staged] = []
         self.steps: list[int] = []
@@ -359,19 +395,27 @@ class Tree:
             c = Chunk(row, told_of(answers, steps), root)
             out = []
             if counts <= DEPTH:
-                out += questions(counts, row["chunk"], c.levels[counts].keys, c.levels[counts].own, bits)
+                level = c.levels[counts]
+                out += questions(counts, row["chunk"], level.keys, bits, lambda a, b: squeezed(level.own[a:b]))
             if states is not None:
-                out += questions(STATES + states, row["chunk"], *c.terms(states), bits)
+                keys, at, own = c.terms(states)
+
+                def says(a: int, b: int) -> bytes:
+                    i, j = np.searchsorted(at, (a, b))
+                    *whole, q, kl = (x[i:j] for x in own)
+                    return blocks(steps_of(at[i:j] - a), *map(squeezed, whole), q.tobytes(), kl.tobytes())
+
+                out += questions(STATES + states, row["chunk"], keys, bits, says)
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             return pa.Table.from_arrays([pa.array([r[i] for r in out], kind) for i, kind in enumerate(kinds)], names=["step", "bucket", "chunk", "n", "keys", "says"])
 
-        asked = self.each(about, ASKED, ("chunk", "words", "n_words", "ids", "sizes", "learns"))
+        asked = self.each(about, ASKED, NUMBERS)
         self.told.append(Staged(asked.groupBy("step", "bucket").applyInArrow(answer, TOLD), f"lm-told-{counts}"))
         self.steps += [counts] * (counts <= DEPTH) + ([] if states is None else [STATES + states])
 
     def each(self, about, shape: str, columns: tuple[str, ...]) -> DataFrame:
         """``about(chunk's row, its answers)`` for every chunk."""
-        slim = self.held.select(*columns)
+        slim = self.held.df.select(*columns)
         if not self.told:
 
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -402,8 +446,12 @@ def scores(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     names = [f"k{i}" for i in range(len(keep))]  # whatever the kept columns are called
     slim = docs.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(keep, names, strict=True)], "text", "learns")
     staged = Staged(chunks(slim.withColumn("row", F.lit(True)), (*names, "row")), "lm-chunks", CHUNKS_A_FILE)
-    n_chunks, symbols = staged.df.agg(F.count("*"), F.sum(F.length("ids"))).first()
-    tree = Tree(staged, n_chunks, symbols or 0)
+    n_chunks, symbols = staged.df.agg(F.count("*"), F.sum("n_ids")).first()
+    with short_lived_shuffles(docs.sparkSession):
+        return _scored(slim, keep, names, Tree(staged, n_chunks, symbols or 0))
+
+
+def _scored(slim: DataFrame, keep: tuple[str, ...], names: list[str], tree: Tree) -> DataFrame:
     tree.learn()
     root, steps = tree.root, list(tree.steps)
     fields = [f"{x} {slim.schema[x].dataType.simpleString()}" for x in names]
@@ -416,9 +464,8 @@ def scores(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         return pa.Table.from_arrays(cols, names=[*names, "n_tokens", "n_known", "base_score", "score"])
 
     shape = ", ".join([*fields, "n_tokens long, n_known long, base_score double, score double"])
-    out = Staged(tree.each(rated, shape, ("chunk", "words", "n_words", "ids", "sizes", "learns", "kept")), "lm-scores").df
-    tree.held.unpersist()
-    for x in (*tree.told, staged):
+    out = Staged(tree.each(rated, shape, (*NUMBERS, "kept")), "lm-scores").df
+    for x in (*tree.told, tree.held):
         x.drop()
     return out.select(*[F.col(x).alias(c) for x, c in zip(names, keep, strict=True)], "n_tokens", "n_known", F.lit(root.n).cast("long").alias("train_tokens"), "base_score", "score")
 
