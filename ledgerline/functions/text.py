@@ -67,9 +67,25 @@ def share_of(text: Column, pattern: str) -> Column:
     return F.when(solid > 0, F.regexp_count(text, F.lit(pattern)) / solid).otherwise(F.lit(0.0))
 
 
+# The first digit of each Indic script, and the months as Hindi and Marathi spell them.
+ZEROS = "०০੦૦୦௦౦೦൦"
+INDIC_MONTHS = {
+    "January": "जनवरी जानेवारी", "February": "फरवरी फेब्रुवारी", "March": "मार्च", "April": "अप्रैल एप्रिल", "May": "मई मे", "June": "जून", "July": "जुलाई जुलै", "August": "अगस्त ऑगस्ट",
+    "September": "सितंबर सितम्बर सप्टेंबर", "October": "अक्तूबर अक्टूबर ऑक्टोबर", "November": "नवंबर नवम्बर नोव्हेंबर", "December": "दिसंबर दिसम्बर डिसेंबर",
+}
+
+
 def ascii_digits(text: Column) -> Column:
-    """Devanagari digits as ASCII ones."""
-    return F.translate(text, "०१२३४५६७८९", "0123456789")
+    """Digits of Indic scripts as ASCII ones."""
+    return F.translate(text, "".join(chr(ord(z) + i) for z in ZEROS for i in range(10)), "0123456789" * len(ZEROS))
+
+
+def western_dates(text: Column) -> Column:
+    """Indic digits and Devanagari month names as ASCII digits and English months; a text of ASCII only stays as it is."""
+    out = ascii_digits(text)
+    for month, spelled in INDIC_MONTHS.items():
+        out = F.regexp_replace(out, f"(?<![\u0900-\u097F])(?:{'|'.join(spelled.split())})(?![\u0900-\u097F])", month)
+    return F.when(text.rlike("[^\\x00-\\x7F]"), out).otherwise(text)
 
 
 def words(text: Column) -> Column:

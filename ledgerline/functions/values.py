@@ -59,9 +59,14 @@ def same_value(a: Column, b: Column) -> Column:
     return (flat(a) == flat(b)) | inside(x, y) | inside(y, x)
 
 
+# How many characters from its label a value is, and what each nearness adds to its weight.
+NEAR_UP_TO, NEAR = (25, 60, 120), (0.1, 0.05, 0.0, -0.1)
+
+
 def proximity(distance: Column) -> Column:
     """What nearness to its label adds to a value's weight."""
-    return F.when(distance <= 25, 0.1).when(distance <= 60, 0.05).when(distance <= 120, 0.0).otherwise(-0.1)
+    place = sum((distance > upto).cast("int") for upto in NEAR_UP_TO)
+    return F.get(F.array(*[F.lit(x) for x in NEAR]), place)
 
 
 def pruned(column: Column) -> Column:

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ..functions.values import NEAR, NEAR_UP_TO
 from .tables import amounts, days
 
 
@@ -91,10 +93,6 @@ def _values(clause: str, kind: str) -> Iterator[tuple[int, int, str, str]]:
             yield m.start(1), m.end(1), m[1].strip(" ."), "value"
 
 
-def _bonus(distance: int) -> float:
-    return 0.1 if distance <= 25 else 0.05 if distance <= 60 else 0.0 if distance <= 120 else -0.1
-
-
 def find(text: str, rules: tuple[Rule, ...] = RULES) -> list[dict]:
     """Candidates of a text, in its order."""
     text = unwrapped(normal(text))
@@ -115,7 +113,7 @@ def find(text: str, rules: tuple[Rule, ...] = RULES) -> list[dict]:
             if inside:
                 first, _, value, grain = inside[0]
                 paired = True
-                out.append({"field": r.field, "value": value, "hint": round(r.weight + _bonus(first - end), 2), "granularity": grain, "provisional": hedged or bool(re.search(HEDGES, clause, re.I)), "ambiguous": many and r.kind == "day", "evidence": clause})
+                out.append({"field": r.field, "value": value, "hint": round(r.weight + NEAR[bisect_left(NEAR_UP_TO, first - end)], 2), "granularity": grain, "provisional": hedged or bool(re.search(HEDGES, clause, re.I)), "ambiguous": many and r.kind == "day", "evidence": clause})
         above = labels[-1][2] if labels and not paired else None
     return out
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import urls
+
+# What stands for a fact that is not known, and a value with the narrower one that says the same and more.
 BLANK = ("", "unknown", "not_announced")
+NARROWER = (("pen_paper", "omr"),)
 
 
 def blank(value: Column, words: tuple[str, ...] = BLANK) -> Column:
@@ -54,21 +61,45 @@ def papers(df: DataFrame, id_: str, words: str, same: list[str]) -> DataFrame:
     return own.join(parts, [*same, "__stem"]).filter("exam <> paper").groupBy("exam").agg(F.array_sort(F.collect_set("paper")).alias("papers"))
 
 
-def merge_facts(facts: DataFrame, group: str, path: str = "path", value: str = "value", *, additive: tuple[str, ...] = ()) -> DataFrame:
+def inside(outer: Column, inner: Column) -> Column:
+    """Whether a link points into the folder that another link of the same site names: it says all that the other does."""
+    folder = F.when(urls.path(outer) == "", "/").otherwise(urls.path(outer))
+    return F.startswith(inner, F.lit("http")) & F.startswith(outer, F.lit("http")) & (urls.host(outer) == urls.host(inner)) & F.endswith(folder, F.lit("/")) & F.startswith(urls.path(inner), folder) & (urls.path(inner) != folder)
+
+
+def says_less(a: Column, b: Column, narrower: tuple[tuple[str, str], ...] = NARROWER) -> Column:
+    """Whether b says all that a says, and more."""
+    pairs = [(a == wide) & (b == narrow) for wide, narrow in narrower]
+    return reduce(or_, pairs, inside(a, b))
+
+
+def most_telling(values: Column, narrower: tuple[tuple[str, str], ...] = NARROWER) -> Column:
+    """The values of which no other says all, and more."""
+    return F.filter(values, lambda a: ~F.exists(values, lambda b: says_less(a, b, narrower)))
+
+
+def merge_facts(facts: DataFrame, group: str, path: str = "path", value: str = "value", *, additive: tuple[str, ...] = (), latest: tuple[str, ...] = (), narrower: tuple[tuple[str, str], ...] = NARROWER) -> DataFrame:
     """(group, path, value, conflict): the facts of the records of a group as one record. A blank yields to what is
-    known; of several known values the path is in conflict and has none, unless it is one of the ``additive`` paths,
-    whose values are listed together."""
+    known, a wide value to a narrower one, a link to one inside its folder; of several known values the path is in conflict and has
+    none, unless it is one of the ``additive`` paths, whose values are listed together, or one of the ``latest``, of which the largest
+    value stays. Items of keyed lists are paths of their own, with the item's key in the path."""
     known = F.when(~blank(F.col(value)), F.col(value))
-    g = facts.groupBy(group, path).agg(F.array_sort(F.collect_set(known)).alias("known"), F.min(value).alias("__blank"))
+    newest = F.when(F.col(path).isin(*latest), F.slice(F.array_sort("known"), -1, 1)).otherwise(F.col("known")) if latest else F.col("known")
+    g = facts.groupBy(group, path).agg(F.collect_set(known).alias("known"), F.min(value).alias("__blank"))
+    g = g.withColumn("known", F.when(F.size("known") > 1, F.array_sort(most_telling(newest, narrower))).otherwise(F.col("known")))
     many = F.size("known") > 1
     listed = F.col(path).isin(*additive) if additive else F.lit(False)
     out = F.when(F.size("known") == 0, F.col("__blank")).when(~many, F.get("known", F.lit(0))).when(listed, F.array_join("known", "; "))
     return g.select(group, path, out.alias(value), (many & ~listed).alias("conflict"))
 
 
-def lost(sources: DataFrame, merged: DataFrame, keys: list[str]) -> DataFrame:
-    """Known facts of the sources that the merged records do not state."""
-    return sources.select(*keys).filter(~blank(F.col(keys[-1]))).distinct().exceptAll(merged.select(*keys).distinct())
+def lost(sources: DataFrame, merged: DataFrame, keys: list[str], narrower: tuple[tuple[str, str], ...] = NARROWER) -> DataFrame:
+    """Known facts of the sources that the merged records state neither as they are nor by a value that says more."""
+    gone = sources.select(*keys).filter(~blank(F.col(keys[-1]))).distinct().exceptAll(merged.select(*keys).distinct())
+    at, value = keys[:-1], keys[-1]
+    more = merged.select(*[F.col(c).alias(f"__{c}") for c in keys])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in at])
+    return gone.join(more, same & says_less(F.col(value), F.col(f"__{value}"), narrower), "left_anti")
 
 
 def diff(before: DataFrame, after: DataFrame, keys: list[str], value: str, status: str = r"^([a-z]+)(?::|$)", bookkeeping: tuple[str, ...] = ()) -> DataFrame:

@@ -82,12 +82,12 @@ def _notice(o: DataFrame) -> DataFrame:
     return o.select("o_orderkey", text.alias("text"))
 
 
-@register("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) + 20 AS VARCHAR) AS deadline, CAST(o_custkey AS VARCHAR) AS vacancies, CAST(o_orderkey % 900 + 100 AS VARCHAR) AS fee, CAST(CAST(o_orderdate AS DATE) + 40 AS VARCHAR) AS admit_card, CAST(NULL AS VARCHAR) AS result FROM orders WHERE o_orderdate >= DATE '2000-02-01'""")
+@register("""SELECT o_orderkey, CASE WHEN d + 20 >= DATE '2000-01-01' THEN CAST(d + 20 AS VARCHAR) END AS deadline, CAST(o_custkey AS VARCHAR) AS vacancies, CAST(o_orderkey % 900 + 100 AS VARCHAR) AS fee, CASE WHEN d + 40 >= DATE '2000-01-01' THEN CAST(d + 40 AS VARCHAR) END AS admit_card, CAST(NULL AS VARCHAR) AS result
+FROM (SELECT *, CAST(o_orderdate AS DATE) AS d FROM orders)""")
 def candidates_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of fields in notices written from orders, one for each field (M13, J23, A9): a date of reference and a
-    month are no values."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit("2000-02-01").cast("date"))
-    found = candidates.candidates(_notice(o), "o_orderkey", "text").withColumn("page", F.lit(1))
+    month are no values, nor are days before 2000."""
+    found = candidates.candidates(_notice(table(spark, sf_dir, "orders")), "o_orderkey", "text").withColumn("page", F.lit(1))
     one = survivorship.adjudicate(found, ["o_orderkey", "field"], granularity="granularity", hint="hint", page="page", value="value", tie=[F.col("ord")])
     pick = lambda f: F.max(F.when(F.col("field") == f, F.col("value")))
     return one.groupBy("o_orderkey").agg(pick("registration_deadline").alias("deadline"), pick("vacancies").alias("vacancies"), pick("fee").alias("fee"), pick("admit_card").alias("admit_card"), pick("result").alias("result"))

@@ -91,5 +91,5 @@ def wanted_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows worth the work: live, of a wanted kind, not stale."""
     o = table(spark, sf_dir, "orders").withColumn("day", F.to_date("o_orderdate"))
     latest = F.lit("2001-08-01").cast("date")
-    fresh = F.col("day") >= F.greatest(F.date_sub(latest, 730), F.date_sub(latest, 3650))
+    fresh = F.col("day") >= F.date_sub(latest, 730)
     return o.filter((F.col("o_orderstatus") == "O") & ~F.col("o_orderpriority").isin("5-LOW") & fresh & (F.col("o_totalprice") > 1000)).select("o_orderkey")

@@ -48,13 +48,12 @@ def hedge_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.col("text").rlike("(?i)(^|[^a-z])(tentative|likely|anea|pas)([^a-z]|$)").alias("hedged"))
 
 
-@register("""SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS iso, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS numeric_, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day_month, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS month_day, CAST(NULL AS VARCHAR) AS impossible FROM orders WHERE o_orderdate >= DATE '2000-01-01'""")
+@register("""SELECT o_orderkey, d AS iso, d AS numeric_, d AS day_month, d AS month_day, CAST(NULL AS VARCHAR) AS impossible FROM (SELECT o_orderkey, CASE WHEN o_orderdate >= DATE '2000-01-01' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS d FROM orders)""")
 def date_parse_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days written in four forms and read again; a day that is none is null."""
+    """Days written in four forms and read again; a day that is none, or of another century, is null."""
     d = F.to_date("o_orderdate")
     forms = {"iso": F.date_format(d, "yyyy-MM-dd"), "numeric_": F.date_format(d, "dd.MM.yyyy"), "day_month": F.date_format(d, "d MMMM, yyyy"), "month_day": F.date_format(d, "MMM d, yyyy"), "impossible": F.lit("31-02-2026")}
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("date"))
-    return o.select("o_orderkey", *[dates.parse_day_first(F.concat(F.lit("Notice of "), v, F.lit(" on posts"))).cast("string").alias(k) for k, v in forms.items()])
+    return table(spark, sf_dir, "orders").select("o_orderkey", *[dates.parse_day_first(F.concat(F.lit("Notice of "), v, F.lit(" on posts"))).cast("string").alias(k) for k, v in forms.items()])
 
 
 @register("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 3 THEN y || '-' || lower(strftime(o_orderdate, '%b')) ELSE y END AS label FROM (SELECT *, CAST(greatest(year(o_orderdate), 2000) AS VARCHAR) AS y FROM orders)""")
