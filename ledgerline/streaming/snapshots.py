@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.selection import keep_first
 from ..operators.state import snapshot_merge
 
 
@@ -44,7 +45,12 @@ class StateTable:
         return self.before(1 << 62)
 
     def write(self, df: DataFrame, batch: int) -> None:
+        """Writes version ``batch``, and removes those before the one that it started from: a repeated batch needs that one only."""
+        whole = [v for v in self._versions() if v < batch and self._exists(v)]
         df.write.mode("overwrite").parquet(f"{self.path}/v={batch}")
+        for v in whole[1:]:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={v}")
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def merge_stream(rows: DataFrame, table: StateTable, checkpoint: str, *, now: Callable[[DataFrame], Column], keep: tuple[str, ...] = (), log: str | None = None) -> StreamingQuery:
@@ -56,7 +62,8 @@ def merge_stream(rows: DataFrame, table: StateTable, checkpoint: str, *, now: Ca
         if batch.isEmpty():
             return
         at = now(batch)
-        fresh = batch.filter("id IS NOT NULL").select(*columns).dropDuplicates(["id"])
+        # of several rows of one id always the same, so that a repeated batch writes the same table
+        fresh = keep_first(batch.filter("id IS NOT NULL").select(*columns), ["id"], [F.col(c) for c in columns])
         merged = snapshot_merge(table.before(n), fresh, batch.filter("ok").select("feed"), at, keep=keep)
         state_columns = [c for c in merged.columns if c != "change"]
         table.write(merged.select(*state_columns), n)
