@@ -115,13 +115,22 @@ def idf(df: DataFrame, words: str, key: str) -> DataFrame:
 
 def similar(left: DataFrame, right: DataFrame, weights: DataFrame, *, id_l: str, id_r: str, words: str, blocks: str, least: float = 0.45, top: int = 6, unknown: float = 8.0) -> DataFrame:
     """(id_l, id_r, share, common): rows of ``right`` that hold at least ``least`` of a left row's word weight, best
-    first, ``top`` at most. Only rows that share a block are compared; words without a weight weigh ``unknown``."""
+    first, ``top`` at most. Only rows that share a block are compared; words without a weight weigh ``unknown``.
+
+    Rows meet on a block and one of the heaviest words of the left row, as many as weigh more than 1 - least of it: a row that has
+    none of these holds too little of the rest. So common words bring nothing together, and no pair is missed."""
     lw = left.select(id_l, blocks, F.explode(F.array_distinct(words)).alias("word")).join(weights.select("word", "idf"), "word", "left").select(id_l, blocks, "word", F.coalesce("idf", F.lit(unknown)).alias("w"))
-    mass = lw.groupBy(id_l).agg(F.sum("w").alias("mass"))
+    rows = lw.groupBy(id_l).agg(F.reverse(F.array_sort(F.collect_set(F.struct("w", "word")))).alias("__l"), F.array_distinct(F.flatten(F.collect_set(blocks))).alias("__b"))
+    sum_of = lambda x: F.aggregate(x, F.lit(0.0), lambda a, e: a + e["w"])
+    rows = rows.withColumn("mass", sum_of("__l"))
+    before = lambda i: sum_of(F.slice("__l", 1, i))
+    heavy = F.filter("__l", lambda _, i: before(i) <= (1 - least) * F.col("mass") + 1e-9)
+    asked = rows.select(id_l, F.explode("__b").alias("block"), F.transform(heavy, lambda e: e["word"]).alias("h")).select(id_l, "block", F.explode("h").alias("word"))
     rw = right.select(id_r, F.explode(F.array_distinct(blocks)).alias("block"), words).select(id_r, "block", F.explode(F.array_distinct(words)).alias("word"))
-    # rows meet on a block and a word together, so rows of one block that share no word are never paired
-    met = lw.select(id_l, F.explode(F.array_distinct(blocks)).alias("block"), "word", "w").join(rw, ["block", "word"]).select(id_l, id_r, "word", "w").distinct()
-    common = met.groupBy(id_l, id_r).agg(F.sum("w").alias("w"), F.count("*").alias("common"))
-    shares = common.join(mass, id_l).withColumn("share", F.col("w") / F.col("mass")).filter(F.col("share") >= least)
+    pairs = asked.join(rw, ["block", "word"]).select(id_l, id_r).distinct()
+    said = right.groupBy(id_r).agg(F.array_distinct(F.flatten(F.collect_set(words))).alias("__r"))
+    both = pairs.join(rows.select(id_l, "__l", "mass"), id_l).join(said, id_r)
+    held = F.filter("__l", lambda e: F.array_contains(F.col("__r"), e["word"]))
+    shares = both.select(id_l, id_r, "mass", held.alias("held")).select(id_l, id_r, (sum_of("held") / F.col("mass")).alias("share"), F.size("held").cast("long").alias("common")).filter(F.col("share") >= least)
     order = Window.partitionBy(id_l).orderBy(F.desc("share"), id_r)
     return shares.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top).select(id_l, id_r, "share", "common", "place")

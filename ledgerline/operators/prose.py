@@ -11,6 +11,8 @@ from .tables import CLASSES
 
 # Words of clauses that state something else than the fact sought, and ordered levels and stages.
 AGE_NOISE = r"(?i)relax|concession|cumulative|children|spouse|\bsons?\b|daughters?|\bward\b|dependent|widow|retire|superannuation|service\s+of|served"
+AGE_MIN, AGE_MAX = (14, 60), (16, 70)  # what a lower and an upper limit can be
+HEADING = 60  # characters of a clause that may head the next one
 LEVELS = [("Doctorate", r"(?i)\bph\.?\s*d\b|doctorate"), ("Postgraduate", r"(?i)post[\s-]*graduat|master'?s?\s+degree|\bm\.?(sc|tech|com)\b|\bmba\b"), ("Graduate", r"(?i)\bgraduat|bachelor'?s?\s+degree|\bdegree\b|\bb\.?(sc|tech|com)\b|\bmbbs\b"), ("Diploma / ITI", r"(?i)\bdiploma\b|\biti\b"), ("Class 12", r"(?i)\b10\s*\+\s*2\b|\b12th\b|intermediate|higher\s+secondary"), ("Class 10", r"(?i)\b10th\b|matricul|high\s+school")]
 STAGES = [("Written examination", r"(?i)written\s+(exam|test)"), ("Skill test", r"(?i)skill\s+test|typing\s+test"), ("Physical test", r"(?i)physical\s+(efficiency|measurement|standard)?\s*test"), ("Group discussion", r"(?i)group\s+discussion"), ("Interview", r"(?i)interview|personality\s+test|viva"), ("Document verification", r"(?i)document\s+verification"), ("Medical examination", r"(?i)medical\s+(exam|test|fitness)")]
 
@@ -24,12 +26,13 @@ def clause_rows(df: DataFrame, key: str, text: str) -> DataFrame:
 def ages(rows: DataFrame) -> DataFrame:
     """Clauses that state an age limit, as age_min and age_max; a limit that no post has, or one upside down, is none."""
     c = F.col("clause")
-    asked = c.rlike(r"(?i)\bage\b") | (F.col("before").rlike(r"(?i)\bage\b") & (F.length("before") < 60))
+    named = lambda x: x.rlike(r"(?i)\bage\b")
+    asked = named(c) | named(F.when(F.length("before") < HEADING, F.col("before")).otherwise(""))
     num = lambda p, i: F.regexp_extract(c, p, i).try_cast("int")
     span = r"(?i)([0-9]{2})\s*(years?\s*)?(and|to|-|–)\s*([0-9]{2})\s*years?"
     low = F.coalesce(num(span, 1), num(r"(?i)(minimum\s+age|not\s+(be\s+)?less\s+than|at\s+least)[^0-9]{0,40}?([0-9]{2})\s*years?", 3))
     high = F.coalesce(num(span, 4), num(r"(?i)(maximum\s+age|upper\s+age\s+limit|not\s+(be\s+)?(more\s+than|exceed\w*|above)|below|under)[^0-9]{0,40}?([0-9]{2})\s*years?", 4))
-    x = rows.filter(asked & ~c.rlike(AGE_NOISE)).withColumns({"age_min": F.when(low.between(14, 60), low), "age_max": F.when(high.between(16, 70), high)})
+    x = rows.filter(asked & ~c.rlike(AGE_NOISE)).withColumns({"age_min": F.when(low.between(*AGE_MIN), low), "age_max": F.when(high.between(*AGE_MAX), high)})
     return x.filter((F.col("age_min").isNotNull() | F.col("age_max").isNotNull()) & ~F.coalesce(F.col("age_min") >= F.col("age_max"), F.lit(False)))
 
 
