@@ -29,6 +29,11 @@ def first_match(text: Column, rules: list[tuple[str, str]], otherwise: str | Non
     return F.lit(otherwise) if out is None else out.otherwise(otherwise)
 
 
+def kind_of(title: Column, first_page: Column, kinds: list[tuple[str, str]], otherwise: str = "other") -> Column:
+    """The kind that a title names, else the one that the first page does."""
+    return F.coalesce(first_match(title, kinds, None), first_match(first_page, kinds, otherwise))
+
+
 def keep(title: Column, url: Column, *, include: str | None, exclude: str | None, scoped: bool, navigation: str, document: str, notice: str) -> Column:
     """Whether a link of a listing is a notice. ``include`` decides alone if given; else navigation words go unless
     they lead to a document, and of an unscoped listing only documents and links that name a notice stay. What

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .tables import CLASSES
+from .candidates import HEDGES
+from .tables import CLASSES, EVENTS
 
 # Words of clauses that state something else than the fact sought, and ordered levels and stages.
 AGE_NOISE = r"(?i)relax|concession|cumulative|children|spouse|\bsons?\b|daughters?|\bward\b|dependent|widow|retire|superannuation|service\s+of|served"
@@ -59,6 +60,16 @@ def stages(text: Column) -> Column:
     return F.transform(F.array_sort(F.filter(found, lambda s: s["at"] > 0)), lambda s: s["name"])
 
 
+def event(label: Column) -> Column:
+    """The event that a label of a schedule names, by the first rule that fits."""
+    return tx.first_match(label, EVENTS, None)
+
+
+def hedged(text: Column) -> Column:
+    """Whether a text calls its dates tentative."""
+    return text.rlike(f"(?i){HEDGES}")
+
+
 def pay(text: Column) -> Column:
     """(level, low, high) of a pay clause; a scale that no post has is none."""
     num = lambda p, i: F.regexp_replace(F.regexp_extract(text, p, i), ",", "").try_cast("long")

@@ -54,8 +54,22 @@ def buckets(df: DataFrame, by: str, order: list[Column], size: int) -> DataFrame
 
 
 def rotation(df: DataFrame, day: Column, n: int, key: str) -> DataFrame:
-    """The rows whose turn it is on a day: one of n shares of the keys."""
-    return df.filter(F.pmod(F.hash(key), F.lit(n)) == F.pmod(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(n)))
+    """The rows whose turn it is on a day: one of n shares of the keys, by a hash that every engine has."""
+    share = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long") % n
+    return df.filter(share == F.pmod(F.datediff(day, F.lit("1970-01-01").cast("date")), F.lit(n)))
+
+
+def filled_down(df: DataFrame, key: str, order: list[Column | str], label: Column, name: str) -> DataFrame:
+    """Rows with ``name``: the last label that was stated at or above them. A key's rows are sorted in one task; a key that holds a
+    large share of all rows should be cut into pages first, whose first rows take over the label of the page before."""
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return df.withColumn(name, F.last(label, ignorenulls=True).over(w))
+
+
+def with_neighbour(df: DataFrame, key: str, order: list[Column | str], columns: dict[str, Column], step: int = 1) -> DataFrame:
+    """Rows with columns of the row ``step`` places above them (below, if negative), by new name. Sorted as in ``filled_down``."""
+    w = Window.partitionBy(key).orderBy(*order)
+    return df.withColumns({name: F.lag(c, step).over(w) for name, c in columns.items()})
 
 
 def soonest(df: DataFrame, by: str, day: str, today: Column, ties: list[Column]) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, values
 from ..functions import text as tx
+from ..operators import selection
 from ..registry import register, table
 
 _NAV, _DOC, _NOTICE = "(?i)^(home|the|of)$", r"(?i)\.(pdf|html)$", "(?i)(blog|page|ref)"
@@ -89,15 +90,15 @@ def script_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("""SELECT l_orderkey, l_linenumber, last_value(CASE WHEN l_returnflag <> 'N' THEN l_returnflag END IGNORE NULLS) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS label FROM lineitem""")
 def label_fill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels that hold for the rows below."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.last(F.when(F.col("l_returnflag") != "N", F.col("l_returnflag")), ignorenulls=True).over(w).alias("label"))
+    stated = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
+    return selection.filled_down(table(spark, sf_dir, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], stated, "label").select("l_orderkey", "l_linenumber", "label")
 
 
 @register("SELECT conv_id, turn, lag(role) OVER (PARTITION BY conv_id ORDER BY turn) AS before, lag(length(text)) OVER (PARTITION BY conv_id ORDER BY turn) AS chars_before FROM conversations")
 def prev_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stands before a clause."""
-    w = Window.partitionBy("conv_id").orderBy("turn")
-    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.lag("role").over(w).alias("before"), F.lag(F.length("text").cast("long")).over(w).alias("chars_before"))
+    columns = {"before": F.col("role"), "chars_before": F.length("text").cast("long")}
+    return selection.with_neighbour(table(spark, sf_dir, "conversations"), "conv_id", ["turn"], columns).select("conv_id", "turn", *columns)
 
 
 @register("""SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, json_extract_string(props, '$.missing.deep') AS missing FROM events""")
