@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, urls, values
 from ..functions import text as tx
-from ..operators import discovery, filters, links, matching, merge, prose, selection, state
+from ..operators import discovery, filters, links, matching, merge, prose, selection, state, vocabulary
 from ..registry import register, table
 from ..sources import listings
 
@@ -147,3 +147,26 @@ def kinds_of_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.element_at(F.array(*[F.lit(t) for t, _ in _TITLES]), k)
     bare = F.col("o_orderkey") % 2 == 0
     return table(spark, sf_dir, "orders").select("o_orderkey", tx.kind_of(F.when(bare, F.lit("12/2026")).otherwise(title), F.when(bare, title).otherwise(F.lit("Corrigendum")), listings.KINDS).alias("kind"))
+
+
+_VOCABULARY = {
+    "class": [
+        {"id": "Unreserved", "axis": "vertical", "aliases": ["general", "unreserved"], "codes": ["UR"]},
+        {"id": "OBC", "axis": "vertical", "aliases": [r"other backward class(?:es)?"], "codes": ["OBC"]},
+        {"id": "BC", "axis": "vertical", "aliases": [r"backward class(?:es)?"], "codes": ["BC"], "jurisdictions": ["F", "O"]},
+        {"id": "all", "axis": "all", "aliases": [r"all (?:categories|candidates)"]},
+    ],
+    "alias": [{"to": "OBC", "codes": ["SEBC"], "jurisdictions": ["O"]}],
+}
+
+
+@register("""WITH x AS (SELECT o_orderkey, o_orderkey % 7 AS k, o_orderstatus AS p FROM orders)
+SELECT o_orderkey, CASE k WHEN 0 THEN 'Unreserved,OBC' WHEN 1 THEN 'OBC' WHEN 2 THEN CASE WHEN p IN ('F', 'O') THEN 'BC' ELSE '' END WHEN 3 THEN CASE WHEN p = 'O' THEN 'OBC' ELSE '' END WHEN 4 THEN '' WHEN 5 THEN 'Unreserved' ELSE 'all' END AS classes,
+CASE k WHEN 1 THEN 'OBC' WHEN 2 THEN CASE WHEN p IN ('F', 'O') THEN 'BC' END WHEN 3 THEN CASE WHEN p = 'O' THEN 'OBC' END WHEN 5 THEN 'Unreserved' WHEN 6 THEN 'all' END AS single FROM x""")
+def scoped_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes that texts name, by place; the longest match counts, a subclass is another class (S3, M6)."""
+    texts = ("Rs. 500 for General and OBC", "Other Backward Classes only", "Backward classes, BC", "SEBC candidates", "BC-A and OBC - II, debug", "UR: all categories, general", "All candidates")
+    k = (F.col("o_orderkey") % len(texts) + 1).cast("int")
+    x = table(spark, sf_dir, "orders").select("o_orderkey", F.element_at(F.array(*[F.lit(t) for t in texts]), k).alias("text"), F.col("o_orderstatus").alias("place"))
+    found = vocabulary.with_classes(x, "o_orderkey", "text", "place", vocabulary.spellings(_VOCABULARY))
+    return found.select("o_orderkey", F.array_join("classes", ",").alias("classes"), "single")

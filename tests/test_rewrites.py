@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import dates, values
 from ledgerline.functions import text as tx
-from ledgerline.operators import candidates, headers, merge, naming, ranking, tables
+from ledgerline.operators import candidates, headers, merge, naming, ranking, tables, vocabulary
 from ledgerline.sources import listings
 from ledgerline.sources.html import parse, select
 
@@ -120,3 +120,14 @@ def test_heads_and_indic_dates(spark):
     assert df.select(headers.unmapped(F.col("header"), F.col("rows")).alias("u")).first().u == ["SEBC-A", "Zone", "MBC"]
     got = spark.createDataFrame([("१२ मार्च २०२६",), ("plain 12",), ("अमार्च",)], "t string").select(tx.western_dates(F.col("t")).alias("t")).collect()
     assert [r.t for r in got] == ["12 March 2026", "plain 12", "अमार्च"]
+
+
+def test_classes_by_place():
+    table = {
+        "class": [{"id": "x:OSC", "codes": ["OSC"], "jurisdictions": ["x"]}, {"id": "SC", "aliases": ["scheduled castes?"], "codes": ["SC"]}, {"id": "y:OSC", "codes": ["OSC"], "jurisdictions": ["y"]}],
+        "alias": [{"to": "SC", "codes": ["DSC"], "jurisdictions": ["x"]}],
+    }
+    known = vocabulary.spellings(table)
+    assert vocabulary.named("OSC, SC", known, "x") == ["x:OSC", "SC"] and vocabulary.named("OSC", known, "y") == ["y:OSC"] and vocabulary.named("OSC", known) == []
+    assert vocabulary.named("B.Sc, sc, SC-A, SCX", known) == [] and vocabulary.named("DSC", known, "x") == ["SC"] and vocabulary.named("", known) == []
+    assert vocabulary.problems(table) == [] and len(vocabulary.problems({"class": [{"id": "a", "codes": ["("]}, {"id": "a"}], "alias": [{"to": "b"}]})) == 3
