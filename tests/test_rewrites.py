@@ -131,3 +131,12 @@ def test_classes_by_place():
     assert vocabulary.named("OSC, SC", known, "x") == ["x:OSC", "SC"] and vocabulary.named("OSC", known, "y") == ["y:OSC"] and vocabulary.named("OSC", known) == []
     assert vocabulary.named("B.Sc, sc, SC-A, SCX", known) == [] and vocabulary.named("DSC", known, "x") == ["SC"] and vocabulary.named("", known) == []
     assert vocabulary.problems(table) == [] and len(vocabulary.problems({"class": [{"id": "a", "codes": ["("]}, {"id": "a"}], "alias": [{"to": "b"}]})) == 3
+
+
+def test_values_in_the_cells_below():
+    got = {c["field"]: c for c in candidates.find("Post | Last date | Total vacancies | Application fee\nClerk | 12.03.2026 | 45 | Rs. 500\nGuard | 1.4.2026 | 3 | Nil")}
+    assert {f: c["value"] for f, c in got.items()} == {"registration_deadline": "2026-03-12", "vacancies": "45", "fee": "500"}
+    assert got["fee"]["hint"] == 0.6
+    more = {c["field"]: c["value"] for c in candidates.find("Last date for payment of fee: 15.03.2026\nAge will be counted as on 01.01.2026. Admit cards are there up to 05.05.2026\nPay scale: Rs. 25,500\nVenue: Town hall, Pune\nEligibility: degree in law")}
+    assert more["payment_deadline"] == "2026-03-15" and "registration_deadline" not in more and more["age_as_on"] == "2026-01-01" and more["admit_card_to"] == "2026-05-05"
+    assert more["pay"] == "25500" and more["venue"] == "Town hall, Pune" and more["eligibility"] == "degree in law"
