@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable
@@ -11,6 +13,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_folders: dict[str, str] = {}
+
+
+def _own_folder(prefix: str) -> str:
+    """A folder of the driver's own, for as long as it lives."""
+    path = tempfile.mkdtemp(prefix=prefix)
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
 
 
 def ship(spark: SparkSession) -> None:
@@ -19,7 +29,7 @@ def ship(spark: SparkSession) -> None:
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    path = Path(tempfile.mkdtemp(prefix="ledgerline-ship-")) / "ledgerline.zip"
+    path = Path(_own_folder("ledgerline-ship-")) / "ledgerline.zip"
     with zipfile.ZipFile(path, "w") as z:
         for f in sorted(root.rglob("*.py")):
             z.write(f, Path("ledgerline") / f.relative_to(root))
@@ -45,9 +55,10 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    found = tempfile.mkdtemp(prefix="ledgerline-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    app = spark.sparkContext.applicationId
+    if app not in _folders:
+        _folders[app] = _own_folder("ledgerline-")
+    return _folders[app]
 
 
 def local(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
