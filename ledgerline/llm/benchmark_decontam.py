@@ -27,7 +27,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, read
+from .common import Staged, read, scratch
 from .shingles import SHINGLE, keyed, run_hashes, run_texts, split_words
 
 THRESHOLD = 0.8
@@ -112,8 +112,9 @@ def contained(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOL
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` without the documents that contain an item."""
-    bad = Staged(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(), "contaminated").df
-    bad = sized(bad, BROADCAST_DOCS)
+    with scratch() as keep:
+        keep.append(Staged(contained(docs, benchmark, threshold).select(F.col("doc_id").alias("__bad_id"), F.col("text_hash").alias("__bad_hash")).distinct(), "contaminated"))
+    bad = sized(keep[0].df, BROADCAST_DOCS)
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["__bad_id"]) & (F.xxhash64(docs["text"]) == bad["__bad_hash"]), "left_anti")
 
 

@@ -46,6 +46,16 @@ class Staged:
             _remove(*_staged.pop(self.path), self.path)
 
 
+@contextmanager
+def scratch() -> Iterator[list[Staged]]:
+    """What is staged inside goes at the end, but for what is put on the list."""
+    before, keep = set(_staged), []
+    yield keep
+    kept = {x.path for x in keep}
+    for path in [p for p in _staged if p not in before and p not in kept]:
+        _remove(*_staged.pop(path), path)
+
+
 class Bucketed:
     """The same in buckets by a column: what is joined or grouped by it is not shuffled. A table of the session that has its files
     in the shared folder."""

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Staged, n_words, read, small_or_not
+from .common import Staged, n_words, read, scratch, small_or_not
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -77,6 +77,13 @@ def plan(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, most
     """A staged row for each document (doc_id, source, size, u, tie, row, share) and, for each source, what decides about its
     documents: source_size, target, whole copies at least, p, the cut, the row that fills the gap, and whether it took the rows'
     numbers (``row``) to tell apart what it takes. Also the number of sources, as far as BROADCAST_SOURCES + 1."""
+    with scratch() as keep:
+        rows, found, n = _plan(docs, size, weights, most, weight, row)
+        keep += [rows, found]
+    return rows, found.df, n
+
+
+def _plan(docs: DataFrame, size: Column, weights: tuple[int, ...], most: int, weight: Column | None, row: Column | None) -> tuple[Staged, Staged, int]:
     tie = text_number(F.col("text")) if "text" in docs.columns else size.cast("long")
     share = F.lit(1.0) if weight is None else F.greatest(F.coalesce(weight.cast("double"), F.lit(0.0)), F.lit(0.0))
     number = F.monotonically_increasing_id() if row is None else row
@@ -130,7 +137,7 @@ def plan(docs: DataFrame, size: Column, weights: tuple[int, ...] = WEIGHTS, most
     alone = equal.groupBy("f_source").agg(F.first("fill").alias("fill"), (F.count("*") > 1).alias("several"))
     plan_ = plan_.join(alone, F.col("source").eqNullSafe(F.col("f_source")), "left").drop("f_source")
     plan_ = plan_.withColumn("tied", F.coalesce("tied", F.lit(False)) | F.coalesce("several", F.lit(False))).drop("several")
-    return rows, Staged(plan_, "mix-filled").df, n
+    return rows, Staged(plan_, "mix-filled"), n
 
 
 def _among_equals(rows: DataFrame, some: DataFrame) -> DataFrame:

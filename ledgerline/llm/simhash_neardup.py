@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, parts, read, small_or_not
+from .common import Staged, parts, read, scratch, small_or_not
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 BLOCKS, WIDTH = 4, 16
@@ -120,11 +120,13 @@ def groups(docs: DataFrame) -> tuple[Staged, DataFrame]:
 
 def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], tuple[Staged, DataFrame]] = groups) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id."""
-    found, by_fp = grouped(docs)
-    rows = found.df.join(by_fp, "fp").select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))).alias("keeps"))
-    keys = rows.groupBy("doc_id", "text_hash", "keeps").agg(F.count("*").alias("n"))
-    # one row a key, so that the join does not multiply; keys of a single row that stays are not listed
-    listed = Staged(keys.filter("NOT keeps OR n > 1").select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), "keeps"), "simhash-listed").df
+    with scratch() as keep:
+        found, by_fp = grouped(docs)
+        rows = found.df.join(by_fp, "fp").select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))).alias("keeps"))
+        keys = rows.groupBy("doc_id", "text_hash", "keeps").agg(F.count("*").alias("n"))
+        # one row a key, so that the join does not multiply; keys of a single row that stays are not listed
+        keep.append(Staged(keys.filter("NOT keeps OR n > 1").select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), "keeps"), "simhash-listed"))
+    listed = keep[0].df
     gone, _ = small_or_not(listed.select("__gone_id", "__gone_hash"), BROADCAST_IDS)
     at = lambda keys: docs["doc_id"].eqNullSafe(keys["__gone_id"]) & (F.xxhash64(docs["text"]) == keys["__gone_hash"])
     single = docs.join(gone, at(gone), "left_anti")
