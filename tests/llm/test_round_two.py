@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerline.llm import benchmark_decontam, dom_extraction, language_id, pareto_mixing, suffix_tree_lm
+from ledgerline.llm import benchmark_decontam, dom_extraction, language_id, minhash_neardup, pareto_mixing, suffix_tree_lm
 from ledgerline.llm import queries as q
 
 SF = "/root/testdata/sf0.01"
@@ -216,3 +216,36 @@ def test_scores_mean_what_they_say(spark):
     p = q.queries()["op7_language_id"](spark, sf).join(docs, "doc_id").filter("held_out AND lang IS NOT NULL")
     r = p.agg(F.avg("score").alias("said"), F.avg((F.col("lang") == F.col("lang_pred")).cast("int")).alias("right")).first()
     assert abs(r.said - r.right) < 0.02
+
+
+@pytest.mark.parametrize("rounds", [6, 0])
+def test_crowd_around_the_threshold(spark, monkeypatch, rounds):
+    """Copies of one text with a few random edits each, of which about half of the pairs are near: groups are those of all pairs."""
+    monkeypatch.setattr(minhash_neardup, "ROUNDS", rounds)
+    monkeypatch.setattr(minhash_neardup, "PAIRS", 1)
+    r = random.Random(17)
+    texts = []
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(200)]
+        for _ in range(70):
+            copy = list(base)
+            for i in r.sample(range(200), r.randint(1, 6)):
+                copy[i] = f"e{r.random()}"
+            texts.append(" ".join(copy))
+    sets = [{tuple(w[i : i + 5]) for w in [t.split()] for i in range(len(w) - 4)} for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                x, y = sorted((find(i), find(j)))
+                root[y] = x
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found, by_fp = minhash_neardup.groups(docs)
+    got = {x.doc_id: x.component_id for x in found.df.join(by_fp, "fp").select("doc_id", "component_id").collect()}
+    assert got == {i: find(i) for i in range(len(texts))} and len(set(got.values())) > 3
