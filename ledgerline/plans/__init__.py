@@ -1,3 +1,3 @@
 """The registered queries, by theme. Importing this package registers them."""
 
-from . import checks, evaluation, filters, matching, notices, pages, profiles, search, selection, state, streams, text, urls  # noqa: F401
+from . import checks, evaluation, filters, matching, notices, pages, profiles, search, selection, state, streams, text, urls, written  # noqa: F401
