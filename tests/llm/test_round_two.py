@@ -218,11 +218,8 @@ def test_scores_mean_what_they_say(spark):
     assert abs(r.said - r.right) < 0.02
 
 
-@pytest.mark.parametrize("rounds", [6, 0])
-def test_crowd_around_the_threshold(spark, monkeypatch, rounds):
+def test_crowd_around_the_threshold(spark):
     """Copies of one text with a few random edits each, of which about half of the pairs are near: groups are those of all pairs."""
-    monkeypatch.setattr(minhash_neardup, "ROUNDS", rounds)
-    monkeypatch.setattr(minhash_neardup, "PAIRS", 1)
     r = random.Random(17)
     texts = []
     for family in range(3):
