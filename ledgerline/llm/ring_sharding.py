@@ -9,7 +9,8 @@ Only counts per ring cell (2 ** CELL_BITS of them, whatever the input) reach the
 position with one range exchange, and a row's rank decides which stretch of the allocation it falls in.
 
 Defined cases: a null key hashes as the empty text; rows with equal keys sit at the same point in the order of the
-tie columns and get slots of their own; an empty table gives no rows; columns of the input that have the name of an
+tie columns and get slots of their own (rows that are equal in all of these are ordered in one task, which holds their keys,
+not their texts, where the caller passes slim rows); an empty table gives no rows; columns of the input that have the name of an
 output column are replaced; other columns pass through.
 """
 
