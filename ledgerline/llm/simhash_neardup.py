@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Staged, parts, read, scratch, small_or_not
+from .common import Staged, parts, read, scratch, short_lived_shuffles, small_or_not
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
 BLOCKS, WIDTH = 4, 16
@@ -120,7 +120,7 @@ def groups(docs: DataFrame) -> tuple[Staged, DataFrame]:
 
 def one_of_each(docs: DataFrame, grouped: Callable[[DataFrame], tuple[Staged, DataFrame]] = groups) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest doc_id."""
-    with scratch() as keep:
+    with scratch() as keep, short_lived_shuffles(docs.sparkSession):
         found, by_fp = grouped(docs)
         rows = found.df.join(by_fp, "fp").select("doc_id", "text_hash", (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("text_hash") == F.col("keeper.text_hash"))).alias("keeps"))
         keys = rows.groupBy("doc_id", "text_hash", "keeps").agg(F.count("*").alias("n"))
