@@ -176,7 +176,7 @@ def short_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", title.alias("short_title"))
 
 
-@register()
+@register("""SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS name, 'examination' AS head FROM part UNION ALL SELECT p_partkey, 'ABCD', 'acronym' FROM part""")
 def series_mined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Series that titles name."""
     p = table(spark, sf_dir, "part")
