@@ -32,7 +32,12 @@ def stream_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.latest().select("id", "feed", F.col("first_seen").cast("string").alias("first_seen"), F.col("gone_since").cast("string").alias("gone_since"))
 
 
-@register()
+@register("""WITH e AS (SELECT user_id AS id, event_type <> 'error' AS ok, CASE WHEN event_type <> 'error' THEN 200 ELSE 500 END AS status, CAST(trunc(value / 50) AS BIGINT) AS n, epoch_us(ts) AS checked FROM events),
+o AS (SELECT *, row_number() OVER w AS i, lag(ok) OVER w AS p_ok, lag(n) OVER w AS p_n FROM e WINDOW w AS (PARTITION BY id ORDER BY checked, status, n)),
+r AS (SELECT *, sum(CASE WHEN p_ok IS NULL OR p_ok <> ok OR (p_n > 0) <> (n > 0) THEN 1 ELSE 0 END) OVER (PARTITION BY id ORDER BY i) AS run FROM o),
+s AS (SELECT *, min(checked) OVER (PARTITION BY id, run) AS since, min(i) OVER (PARTITION BY id, run) = i AS starts, first_value(p_n) OVER (PARTITION BY id, run ORDER BY i) AS n_before FROM r),
+a AS (SELECT *, CASE WHEN ok AND NOT n > 0 AND n_before > 0 THEN 'yield dropped to zero' WHEN NOT ok AND checked - since >= 86400000000 THEN 'failing for a day' END AS alert FROM s)
+SELECT id, checked, since, alert, CASE WHEN ok THEN alert IS NOT NULL AND starts ELSE alert IS NOT NULL AND coalesce(lag(alert) OVER (PARTITION BY id ORDER BY i), '') <> 'failing for a day' END AS raised FROM a""")
 def stream_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Health lines and alerts from a stream of results, with Spark keeping each feed's last line (ST3)."""
     folder = _folder(spark, "stream-health")
