@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def grouped_int(text: Column) -> Column:
     """A whole number with groups of any size ("1,04,233"), else null."""
-    return F.when(text.rlike(r"^\s*[0-9][0-9,]*\s*$"), F.try_to_number(F.regexp_replace(text, r"[,\s]", ""), F.lit("99999999999999")).cast("long"))
+    return F.when(text.rlike(r"^\s*[0-9][0-9,]*\s*$"), F.regexp_replace(text, r"[,\s]", "").try_cast("long"))
 
 
 def cell_int(text: Column) -> Column:
@@ -22,10 +22,11 @@ def amounts(text: Column) -> Column:
     return F.transform(found, lambda x: grouped_int(x))
 
 
-def fee_cell(text: Column, most: int = 20_000) -> Column:
-    """The fee in a cell: nil and the like are 0, an amount with or without a currency, ``most`` at most."""
+def fee_cell(text: Column, most: int | None = 20_000) -> Column:
+    """The fee in a cell: nil and the like are 0, an amount with or without a currency; without one ``most`` at most, or any if
+    that is None."""
     bare = cell_int(text)
-    return F.when(text.rlike(r"(?i)^\s*(nil|exempt(ed)?|no fee|free|-+)\s*$"), F.lit(0).cast("long")).otherwise(F.coalesce(F.try_element_at(amounts(text), F.lit(1)), F.when(bare <= most, bare)))
+    return F.when(text.rlike(r"(?i)^\s*(nil|exempt(ed)?|no fee|free|-+)\s*$"), F.lit(0).cast("long")).otherwise(F.coalesce(F.try_element_at(amounts(text), F.lit(1)), bare if most is None else F.when(bare <= most, bare)))
 
 
 def dig(json: Column, path: str) -> Column:

@@ -20,3 +20,9 @@ def test_titles_cut_within_a_reference(spark, tmp_path):
     rows = [(i, "u", f"<html><head><title>{t}</title></head><body><p>x</p></body></html>") for i, t in enumerate(titles)] + [(90, "u", None), (91, "u", "<p>no title</p>")]
     got, want = against_sql(spark, tmp_path, "html_title", "pages", rows, "page_id long, url string, html string")
     assert got == want and (0, "Cut &&amp") in got and (90, None) in got
+
+
+def test_numbers_of_any_size(spark, tmp_path):
+    rows = [(k,) for k in (0, 1, 2, 3, 20_000, 20_003, 89_999, 899_999, 8_100_000_002, 700_000_000_001)]
+    got, want = against_sql(spark, tmp_path, "number_cells", "customer", rows, "c_custkey long")
+    assert got == want and (20_003, 20_003 * 12345, 20_003 * 7, 20_003) in got
