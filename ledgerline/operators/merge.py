@@ -46,9 +46,13 @@ def families(df: DataFrame, id_: str, words: str, same: list[str], variants: tup
     initials = lambda s: F.array_join(F.transform(s, lambda w: F.substring(w, 1, 1)), "")
     own = x.filter((F.size(words) >= 2) & ~F.exists(words, is_variant)).select(F.col(id_).alias("family"), *same, F.col(words).alias("__stem"))
     parts = x.filter((F.size("__stem") >= 2) & (F.size("__stem") < F.size(words))).select(F.col(id_).alias("part"), *same, "__stem", F.filter(extra, lambda w: w != initials(F.col("__stem"))).alias("extra"))
-    both = own.join(parts.filter(F.size("extra") > 0), [*same, "__stem"])
-    g = both.groupBy("family").agg(F.array_sort(F.collect_list("part")).alias("parts"), F.count_distinct("extra").alias("kinds"))
-    return g.filter((F.size("parts") >= 2) & (F.col("kinds") == F.size("parts"))).select("family", "parts")
+    # a name with two parts alike is no family, however many rows have it: only lists without such are put together
+    counted = parts.filter(F.size("extra") > 0).groupBy(*same, "__stem", "extra").agg(F.count("*").alias("n"), F.min("part").alias("part"))
+    of_name = counted.groupBy(*same, "__stem").agg((F.max("n") == 1).alias("apart"), F.collect_list(F.when(F.col("n") == 1, F.struct("part", "extra"))).alias("entries"))
+    g = own.join(of_name, [*same, "__stem"]).groupBy("family").agg(F.bool_and("apart").alias("apart"), F.flatten(F.collect_list(F.when(F.col("apart"), F.col("entries")))).alias("entries"))
+    kinds = F.size(F.array_distinct(F.transform("entries", lambda e: e["extra"])))
+    g = g.filter(F.col("apart") & (F.size("entries") >= 2) & (kinds == F.size("entries")))
+    return g.select("family", F.array_sort(F.transform("entries", lambda e: e["part"])).alias("parts"))
 
 
 def papers(df: DataFrame, id_: str, words: str, same: list[str]) -> DataFrame:

@@ -1,8 +1,12 @@
 """What larger tables and odd rows brought up: titles, numbers, crowds of equal names."""
 
+import threading
+
 import duckdb
+from pyspark.sql import functions as F
 
 from ledgerline import catalog
+from ledgerline.operators import merge
 
 
 def against_sql(spark, where, name, table, rows, schema):
@@ -26,3 +30,21 @@ def test_numbers_of_any_size(spark, tmp_path):
     rows = [(k,) for k in (0, 1, 2, 3, 20_000, 20_003, 89_999, 899_999, 8_100_000_002, 700_000_000_001)]
     got, want = against_sql(spark, tmp_path, "number_cells", "customer", rows, "c_custkey long")
     assert got == want and (20_003, 20_003 * 12345, 20_003 * 7, 20_003) in got
+
+
+def within(spark, seconds, df):
+    stop = threading.Timer(seconds, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        return df.collect()
+    finally:
+        stop.cancel()
+
+
+def test_families_of_crowds(spark):
+    """60,000 names of one family are not paired with 60,000 parts; lists with two parts alike are none, others stay whole."""
+    crowd = spark.range(120_000).select("id", F.lit("x").alias("b"), F.when(F.col("id") % 2 == 0, F.array(F.lit("alpha"), F.lit("hot"))).otherwise(F.array(F.lit("alpha"), F.lit("hot"), F.lit("box"))).alias("words"))
+    rows = [(200_000 + i, "y", w.split()) for i, w in enumerate(["Big Bag", "Big Bag", "Big Bag box", "Big Bag gear", "Big Bag box gear", "Big Hat", "Big Hat ii", "Big Bag bb", "Big Box", "Big Cap", "Big Cap box", "Big Cap box", "Big Cap ii"])]
+    df = crowd.unionByName(spark.createDataFrame(rows, "id long, b string, words array<string>"))
+    got = within(spark, 60, merge.families(df, "id", "words", ["b"], ("box", "gear", "i", "ii")))
+    assert sorted(map(tuple, got)) == [(200_000, [200_002, 200_003, 200_004]), (200_001, [200_002, 200_003, 200_004])]
