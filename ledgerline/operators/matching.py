@@ -117,8 +117,12 @@ def similar(left: DataFrame, right: DataFrame, weights: DataFrame, *, id_l: str,
     """(id_l, id_r, share, common): rows of ``right`` that hold at least ``least`` of a left row's word weight, best
     first, ``top`` at most. Only rows that share a block are compared; words without a weight weigh ``unknown``.
 
-    Rows meet on a block and one of the heaviest words of the left row, as many as weigh more than 1 - least of it: a row that has
-    none of these holds too little of the rest. So common words bring nothing together, and no pair is missed."""
+    Rows of equal words and blocks are one class: classes are compared, and each row gets the best rows of its class's matches, of
+    which ``top`` a class are enough. Classes meet on a block and one of the heaviest words of the left one, as many as weigh more
+    than 1 - least of it: a row that has none of these holds too little of the rest. So common words bring nothing together,
+    crowds of copies do not grow with their square, and no pair is missed."""
+    left, members_l = _classes(left, id_l, words, blocks)
+    right, members_r = _classes(right, id_r, words, blocks)
     lw = left.select(id_l, blocks, F.explode(F.array_distinct(words)).alias("word")).join(weights.select("word", "idf"), "word", "left").select(id_l, blocks, "word", F.coalesce("idf", F.lit(unknown)).alias("w"))
     rows = lw.groupBy(id_l).agg(F.reverse(F.array_sort(F.collect_set(F.struct("w", "word")))).alias("__l"), F.array_distinct(F.flatten(F.collect_set(blocks))).alias("__b"))
     sum_of = lambda x: F.aggregate(x, F.lit(0.0), lambda a, e: a + e["w"])
@@ -132,5 +136,20 @@ def similar(left: DataFrame, right: DataFrame, weights: DataFrame, *, id_l: str,
     both = pairs.join(rows.select(id_l, "__l", "mass"), id_l).join(said, id_r)
     held = F.filter("__l", lambda e: F.array_contains(F.col("__r"), e["word"]))
     shares = both.select(id_l, id_r, "mass", held.alias("held")).select(id_l, id_r, (sum_of("held") / F.col("mass")).alias("share"), F.size("held").cast("long").alias("common")).filter(F.col("share") >= least)
+    first = Window.partitionBy("__class").orderBy("__id")
+    some = members_r.withColumn("__n", F.row_number().over(first)).filter(F.col("__n") <= top)
+    each = shares.join(some.select(F.col("__class").alias(id_r), "__id"), id_r).drop(id_r).withColumnRenamed("__id", id_r)
     order = Window.partitionBy(id_l).orderBy(F.desc("share"), id_r)
-    return shares.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top).select(id_l, id_r, "share", "common", "place")
+    best = each.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= top)
+    return best.join(members_l.select(F.col("__class").alias(id_l), "__id"), id_l).select(F.col("__id").alias(id_l), id_r, "share", "common", "place")
+
+
+def _classes(df: DataFrame, id_: str, words: str, blocks: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of one id of each class of equal words and blocks, and (__class, __id): which id each one's class is. An id
+    with several rows has those of all."""
+    flat = lambda c: F.array_sort(F.array_distinct(c))
+    row = F.struct(flat(blocks).alias("b"), flat(words).alias("w"))
+    by_id = df.filter(F.col(id_).isNotNull()).groupBy(id_).agg(F.array_sort(F.collect_set(row)).alias("__rows"))
+    chosen = by_id.groupBy("__rows").agg(F.min(id_).alias("__class"))
+    rows = chosen.select(F.col("__class").alias(id_), F.explode("__rows").alias("__row")).select(id_, F.col("__row.b").alias(blocks), F.col("__row.w").alias(words))
+    return rows, by_id.join(chosen, "__rows").select("__class", F.col(id_).alias("__id"))

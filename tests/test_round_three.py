@@ -1,12 +1,13 @@
 """What larger tables and odd rows brought up: titles, numbers, crowds of equal names."""
 
+import random
 import threading
 
 import duckdb
 from pyspark.sql import functions as F
 
 from ledgerline import catalog
-from ledgerline.operators import merge
+from ledgerline.operators import matching, merge
 
 
 def against_sql(spark, where, name, table, rows, schema):
@@ -48,3 +49,16 @@ def test_families_of_crowds(spark):
     df = crowd.unionByName(spark.createDataFrame(rows, "id long, b string, words array<string>"))
     got = within(spark, 60, merge.families(df, "id", "words", ["b"], ("box", "gear", "i", "ii")))
     assert sorted(map(tuple, got)) == [(200_000, [200_002, 200_003, 200_004]), (200_001, [200_002, 200_003, 200_004])]
+
+
+def test_similar_titles_of_crowds(spark, tmp_path):
+    """60,000 equal titles of one block are one class, each row with the same six; small crowds as in the SQL."""
+    df = spark.range(60_000).select("id", F.array(F.lit("hot"), F.lit("bolt")).alias("words"), F.array(F.lit("b")).alias("blocks"))
+    weights = spark.createDataFrame([("hot", 1.0), ("bolt", 2.0)], "word string, idf double")
+    found = matching.similar(df, df.withColumnRenamed("id", "other"), weights, id_l="id", id_r="other", words="words", blocks="blocks")
+    tops = within(spark, 60, found.groupBy("other", "place", "share", "common").agg(F.count("*").alias("n")))
+    assert sorted(map(tuple, tops)) == [(i, i + 1, 1.0, 2, 60_000) for i in range(6)]
+    r = random.Random(5)
+    rows = [(i, f"{r.choice('hot cold old new'.split())} {r.choice('bolt ring bolt bolt'.split())}", r.choice("AB"), "T") for i in range(120)] + [(200, None, "A", "T"), (201, "hot bolt", None, "T"), (202, "a b", "A", "T")]
+    got, want = against_sql(spark, tmp_path, "tfidf_match", "part", rows, "p_partkey long, p_name string, p_brand string, p_type string")
+    assert [(a, b, round(c, 6), d, e) for a, b, c, d, e in got] == [(a, b, round(c, 6), d, e) for a, b, c, d, e in want] and got
