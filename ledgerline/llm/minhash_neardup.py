@@ -1,160 +1,5 @@
-"""Near-duplicates by shingle similarity: MinHash bands find candidates, the exact similarity decides.
+"""The former name of similar_neardup, whose candidates were MinHash bands."""
 
-Two texts are near-duplicates if the Jaccard similarity of their sets of SHINGLE-word shingles is SIMILARITY or more. A
-fingerprint of 64 bits cannot find these: at 0.8 about 10 bits differ, and no choice of blocks is both selective and
-agreed on. A signature of BANDS bands of ROWS minima has a band in common at similarity s with probability
-1 - (1 - s ** ROWS) ** BANDS, which is 0.9996 at 0.8 and more above it. Texts of one set are one member from the start.
+from .similar_neardup import groups, shingles
 
-Every pair that shares a band is verified, already in one group, or below SIMILARITY for certain. First the members of a band are
-compared with one of them, the one that shares most bands with others, so that the centre of a crowd of copies joins what is
-near to it; that is linear. Then the members of bands that fall into several groups meet on rare shingles (``across``):
-a set's shingles are ranked from the rarest, two sets that are alike enough share one of the first fifth of each, at ranks
-that leave room for the overlap they need. A copy with too many shingles of its own meets nobody, however large the crowd, and
-members of the group that most have at a shingle are not compared with each other.
-
-Defined cases: as in simhash_neardup; texts without words have the empty set and are copies of each other. Sets are of
-64-bit hashes of the shingles.
-"""
-
-from __future__ import annotations
-
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
-from pyspark.sql import functions as F
-
-from .common import Staged, parts
-from .simhash_neardup import components
-
-SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 20, 5
-CHUNK = 1 << 13
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_SEEDS = np.random.default_rng(42).integers(0, 2**64, BANDS * ROWS, np.uint64)
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ x >> np.uint64(32)) * _MIX
-    return x ^ x >> np.uint64(29)
-
-
-def shingles(text: str | None) -> np.ndarray:
-    """The set of a text, in order."""
-    words = (text or "").encode().lower().split()  # ASCII only, as in simhash_neardup
-    if not words:
-        return np.zeros(0, np.uint64)
-    digest = xxhash.xxh64_intdigest
-    h = np.fromiter(map(digest, words), np.uint64, len(words))
-    n = max(1, len(words) - SHINGLE + 1)
-    out = np.full(n, min(SHINGLE, len(words)), np.uint64)
-    for i in range(min(SHINGLE, len(words))):
-        out = _mixed(out * _MIX + h[i : i + n])
-    return np.unique(out)
-
-
-def bands(found: np.ndarray) -> list[int]:
-    """The keys of a set's bands."""
-    if not len(found):
-        return []
-    least = np.full(len(_SEEDS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(found), CHUNK):
-        for i, seed in enumerate(_SEEDS):
-            least[i] = min(least[i], _mixed(found[at : at + CHUNK] ^ seed).min())
-    return [xxhash.xxh64_intdigest(row.tobytes(), i) - 2**63 for i, row in enumerate(least.reshape(BANDS, ROWS))]
-
-
-def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp, size, bands): fp is the hash of the set."""
-    key = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            sets = [shingles(t) for t in b.column(2).to_pylist()]
-            fp = [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(bands, sets), pa.list_(pa.int64()))], names=["doc_id", "text_hash", "fp", "size", "bands"])
-
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id {key}, text_hash long, fp long, size long, bands array<long>")
-
-
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, found) of ``wanted`` (fp, w_id, w_hash): found is the set as bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t).tobytes() for t in b.column(1).to_pylist()], pa.binary())], names=["fp", "found"])
-
-    docs = docs.select("doc_id", "text")  # other columns may have our names
-    at = docs["doc_id"].eqNullSafe(wanted["w_id"]) & (F.xxhash64(docs["text"]) == wanted["w_hash"])
-    return docs.join(wanted, at).select("fp", "text").mapInArrow(run, "fp long, found binary").dropDuplicates(["fp"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that are similar enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            good = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= SIMILARITY * (len(x) + len(y) - both))
-            yield b.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    x = pairs.join(sets.select(F.col("fp").alias("b"), F.col("found").alias("of_b")), "b")
-    return x.join(sets.select(F.col("fp").alias("a"), F.col("found").alias("of_a")), "a").select("a", "b", "of_a", "of_b").mapInArrow(run, "a long, b long")
-
-
-def across(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): pairs of members (fp, size, root) of different groups, among which are all that are similar enough."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches, 200):
-            found = [np.frombuffer(x, np.int64) for x in b.column(3).to_pylist()]
-            n = pa.array(list(map(len, found)), pa.int64())
-            whole = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, found)]), pa.int32()), pa.array(np.concatenate(found)))
-            yield pa.RecordBatch.from_arrays([b.column(0), n, b.column(2), whole], names=["fp", "size", "root", "shingles"])
-
-    whole = members.join(sets, "fp").select("fp", "size", "root", "found").mapInArrow(run, "fp long, size long, root long, shingles array<long>")
-    each = Staged(whole.select("fp", "size", "root", F.explode("shingles").alias("shingle")), "minhash-shingles").df
-    often = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    ranked = each.join(often, "shingle").withColumn("rank", F.row_number().over(Window.partitionBy("fp").orderBy("n", "shingle")) - 1)
-    # of the first ranks, those of shingles that several groups have
-    first = ranked.filter((F.col("rank") <= F.col("size") - F.ceil(SIMILARITY * F.col("size") - 1e-9)) & (F.col("low") != F.col("high")))
-    first = Staged(first.select("shingle", "fp", "size", "root", "rank"), "minhash-first").df
-    main = first.groupBy("shingle", "root").agg(F.count("*").alias("n")).groupBy("shingle").agg(F.max(F.struct("n", "root")).alias("m")).select("shingle", F.col("m.root").alias("main"))
-    a, b = (first.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in ("fp", "size", "root", "rank")]) for x in "ab")
-    a = a.join(main, "shingle").filter("root_a <> main").drop("main")
-    needed = F.ceil(SIMILARITY / (1 + SIMILARITY) * (F.col("size_a") + F.col("size_b")) - 1e-9)
-    room = F.least(F.col("size_a") - F.col("rank_a"), F.col("size_b") - F.col("rank_b"))
-    met = a.join(b, "shingle").filter((F.col("root_a") != F.col("root_b")) & (room >= needed))
-    return met.select(F.least("fp_a", "fp_b").alias("a"), F.greatest("fp_a", "fp_b").alias("b")).distinct()
-
-
-def groups(docs: DataFrame) -> tuple[Staged, DataFrame]:
-    """As simhash_neardup.groups; fp stands for the set."""
-    found = Staged(signatures(docs), "minhash")
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    distinct = Staged(found.df.groupBy("fp").agg(F.min(row).alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands")), "minhash-distinct").df
-    keyed = distinct.select("fp", "size", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    met = Staged(keyed.join(shared, "key"), "minhash-met").df
-    met = Staged(met.join(met.groupBy("fp").agg(F.sum("n").alias("popular")), "fp"), "minhash-popular").df
-    centres = met.groupBy("key").agg(F.max(F.struct("popular", "fp", "size")).alias("centre"))
-    wanted = distinct.join(met.select("fp").distinct(), "fp", "left_semi").select("fp", F.col("first.doc_id").alias("w_id"), F.col("first.text_hash").alias("w_hash"))
-    sets = Staged(sets_of(docs, wanted), "minhash-sets").df
-    fits = lambda a, b: F.least(a, b) >= SIMILARITY * F.greatest(a, b)  # noqa: E731 - else the similarity is less
-    stars = met.join(centres, "key").filter((F.col("fp") != F.col("centre.fp")) & fits(F.col("size"), F.col("centre.size")))
-    edges = Staged(verified(stars.select(F.col("centre.fp").alias("a"), F.col("fp").alias("b")).distinct(), sets), "minhash-stars").df
-    roots = components(edges)
-    near = roots.select(F.col("node").alias("fp"), "root")
-    rooted = Staged(met.select("fp", "size", "key").join(near, "fp", "left").select("key", "fp", "size", F.coalesce("root", "fp").alias("root")), "minhash-rooted").df
-    several = rooted.groupBy("key").agg((F.min("root") != F.max("root")).alias("open")).filter("open").select("key")
-    left = Staged(rooted.join(several, "key").select("fp", "size", "root").distinct(), "minhash-open").df
-    more = verified(across(left, sets), sets)
-    roots = components(edges.union(more))
-    member = distinct.select("fp", "first").join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    first = member.groupBy("root").agg(F.min("first").alias("keeper"))
-    return found, member.select("fp", "root").join(first, "root").select("fp", F.col("keeper.doc_id").alias("component_id"), "keeper")
+__all__ = ["groups", "shingles"]

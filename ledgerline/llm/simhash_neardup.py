@@ -30,21 +30,21 @@ from pyspark.sql import functions as F
 from .common import Staged, parts, read, scratch, short_lived_shuffles, small_or_not
 
 SEED, SHINGLE, DISTANCE = 42, 3, 2
-BLOCKS, WIDTH = 4, 16
+BLOCKS = 4
 BUCKET = 64
 BROADCAST_IDS = 1_000_000
 CHUNK = 1 << 14
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     words = (text or "").encode().lower().split()  # lower() of bytes and split() of bytes know ASCII only
     if not words:
         return 0
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - shingle + 1)
     starts = [0, *(ends[: n - 1] + 1).tolist()]
-    stops = ends[min(SHINGLE, len(words)) - 1 :].tolist()
+    stops = ends[min(shingle, len(words)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     counts = np.zeros(64, np.int64)
     for at in range(0, n, CHUNK):
@@ -64,10 +64,21 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, f"doc_id {key}, text_hash long, fp long")
 
 
-def block_keys(fp: Column) -> Column:
-    """The keys of a fingerprint: the blocks of every choice of two, with the number of the choice above them."""
-    block = lambda i: F.shiftrightunsigned(fp, WIDTH * i).bitwiseAND((1 << WIDTH) - 1)
-    return F.array(*[F.lit(c << 2 * WIDTH).cast("long") + F.shiftleft(block(i), WIDTH) + block(j) for c, (i, j) in enumerate(combinations(range(BLOCKS), 2))])
+def block_keys(fp: Column, blocks: int = BLOCKS, agree: int = BLOCKS - DISTANCE) -> Column:
+    """The keys of a fingerprint: the blocks of every choice of ``agree`` of ``blocks``, with the number of the choice above them. Any
+    two fingerprints within blocks - agree bits have one in common."""
+    edge = [64 * i // blocks for i in range(blocks + 1)]
+    block = lambda i: F.shiftrightunsigned(fp, edge[i]).bitwiseAND((1 << edge[i + 1] - edge[i]) - 1)
+
+    width = max(edge[i + 1] - edge[i] for i in range(blocks)) * agree  # choices of unlike widths must not share a key
+
+    def key(number: int, chosen: tuple[int, ...]) -> Column:
+        out = F.lit(0).cast("long")
+        for i in chosen:
+            out = F.shiftleft(out, edge[i + 1] - edge[i]) + block(i)
+        return F.lit(number << width).cast("long") + out
+
+    return F.array(*[key(c, chosen) for c, chosen in enumerate(combinations(range(blocks), agree))])
 
 
 def links(distinct: DataFrame) -> DataFrame:
