@@ -123,6 +123,43 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(29)
 
 
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As np.unique with return_index and return_inverse, which sorts in a slower way for the sake of the first places."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    starts = np.flatnonzero(new)
+    number = np.empty(len(x), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return x[starts], np.minimum.reduceat(order, starts) if len(x) else order, number
+
+
+def distinct_pairs(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int, key: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """distinct(key(all places)) for keys of pairs (a below n_a, b below n_b). Pairs are sorted with their places in one number each,
+    where that fits, and keys are made of the first places alone."""
+    n, of_b, of_place = len(a), n_b.bit_length(), len(a).bit_length()
+    if n and n_a.bit_length() + of_b + of_place <= 64:
+        both = a.astype(np.uint64) << np.uint64(of_b) | b.astype(np.uint64)
+        both = both << np.uint64(of_place) | np.arange(n, dtype=np.uint64)
+        both.sort()
+        places = (both & np.uint64((1 << of_place) - 1)).astype(np.int64)
+        both >>= np.uint64(of_place)
+        new = np.ones(n, bool)
+        new[1:] = both[1:] != both[:-1]
+        first = places[new]
+        keys = key(first)
+        order = np.argsort(keys)
+        keys = keys[order]
+        if not (keys[1:] == keys[:-1]).any():
+            rank = np.empty(len(keys), np.int64)
+            rank[order] = np.arange(len(keys))
+            number = np.empty(n, np.int64)
+            number[places] = rank[np.cumsum(new) - 1]
+            return keys, first[order], number
+    return distinct(key(np.arange(n)))
+
+
 # --- chunks ---------------------------------------------------------------------------------------------------------
 
 
@@ -180,12 +217,11 @@ def chunks(docs: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 @dataclass
 class Level:
-    """The sequences of one length in a chunk, by their keys in order: where they occur, how often in the chunk's
-    training texts (``own``) and in all of them (``count``, 0 below LEAST), whether this chunk speaks for them, and the
-    numbers of the sequences one shorter that they begin and end with. ``at``: for each place the number of the one that ends there and counts, or -1."""
+    """The sequences of one length in a chunk, by their keys in order: where they occur, how often in all training
+    texts (``count``, 0 below LEAST), whether this chunk speaks for them, and the numbers of the
+    sequences one shorter that they begin and end with. ``at``: for each place the number of the one that ends there and counts, or -1."""
 
     keys: np.ndarray
-    own: np.ndarray
     begins: np.ndarray
     ends: np.ndarray
     places: np.ndarray
@@ -214,9 +250,8 @@ class Chunk:
         self.inner = np.ones(len(self.ids), bool)
         self.inner[self.starts] = False
         self.levels: list[Level] = []
-        own = np.bincount(self.ids, self.learns & self.inner, len(self.words)).astype(np.uint64)
         none = np.zeros(0, np.int64)
-        self.grow(Level(self.words, own, none, none, np.arange(len(self.ids)), self.ids))
+        self.grow(Level(self.words, none, none, np.arange(len(self.ids)), self.ids))
         while len(self.levels) - 1 in answers and len(self.levels) <= DEPTH:
             self.grow(self.longer())
 
@@ -228,8 +263,7 @@ class Chunk:
         told = np.concatenate([np.zeros(0, np.uint64), *[unsqueezed(x, n) for n, x in self.answers[k]]])
         level.count, level.speaks = (told >> np.uint64(1)).astype(np.int64), (told & np.uint64(1)).astype(bool)
         level.at = np.full(len(self.ids), -1)
-        good = level.count[level.number] >= LEAST
-        level.at[level.places[good]] = level.number[good]
+        level.at[level.places] = np.where(level.count >= LEAST, np.arange(len(level.keys)), -1)[level.number]
         if k == 0:
             if self.root is None:
                 return
@@ -252,15 +286,20 @@ class Chunk:
                 level.state[states], level.back[states] = True, back
                 first += n
 
+    def own(self, k: int) -> np.ndarray:
+        """How often each sequence of level k occurs in the chunk's training texts."""
+        level = self.levels[k]
+        return np.bincount(level.number, (self.learns & self.inner)[level.places], len(level.keys)).astype(np.uint64)
+
     def longer(self) -> Level:
         """The sequences one longer than those of the last level of which both shorter parts count."""
         last = self.levels[-1]
         before = np.concatenate([[-1], last.at[:-1]])
         places = np.flatnonzero((last.at >= 0) & (before >= 0) & self.inner)
-        key = _mixed(last.keys[before[places]] * _MIX + self.words[self.ids[places]])
-        keys, first, number = np.unique(key, return_index=True, return_inverse=True)
-        own = np.bincount(number, self.learns[places], len(keys)).astype(np.uint64)
-        return Level(keys, own, before[places][first], last.at[places][first], places, number)
+        begins, ids = before[places], self.ids[places]
+        key = lambda at: _mixed(last.keys[begins[at]] * _MIX + self.words[ids[at]])
+        keys, first, number = distinct_pairs(begins, ids, len(last.keys), len(self.words), key)
+        return Level(keys, begins[first], last.at[places[first]], places, number)
 
     def terms(self, k: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]:
         """Keys of the contexts of level k that count; the places among them of those that this chunk speaks for a sequence of;
@@ -322,7 +361,7 @@ def answer(table: pa.Table) -> pa.Table:
     """What all chunks together say about the keys of one bucket, for each chunk in the order of its keys."""
     rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
     step = rows[0]["step"]
-    keys, first, number = np.unique(np.concatenate([np.cumsum(unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]), return_index=True, return_inverse=True)
+    keys, first, number = distinct(np.concatenate([np.cumsum(unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]))
     starts = np.cumsum([0, *[r["n"] for r in rows]])
     stats = None
     if step < STATES:
@@ -395,8 +434,8 @@ class Tree:
             c = Chunk(row, told_of(answers, steps), root)
             out = []
             if counts <= DEPTH:
-                level = c.levels[counts]
-                out += questions(counts, row["chunk"], level.keys, bits, lambda a, b: squeezed(level.own[a:b]))
+                of_chunk = c.own(counts)
+                out += questions(counts, row["chunk"], c.levels[counts].keys, bits, lambda a, b: squeezed(of_chunk[a:b]))
             if states is not None:
                 keys, at, own = c.terms(states)
 
