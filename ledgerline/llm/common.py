@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from itertools import count
 
 import pyarrow as pa
 from py4j.java_gateway import JavaObject, JVMView
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +23,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: What is still there: the JVM and its settings outlive a stopped session.
 _staged: dict[str, tuple[JVMView, JavaObject]] = {}
 
+#: After every so many staged tables the driver gives unused memory back: its plans, not the data, are what it holds most of.
+GIVE_BACK = 4
+_written = count(1)
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,6 +37,32 @@ def _remove(jvm: JVMView, conf: JavaObject, path: str) -> None:
     target.getFileSystem(conf).delete(target, True)
 
 
+def give_back(spark: SparkSession) -> int:
+    """Memory that the driver's JVM took and no longer uses goes back to the system: the heap shrinks to what is in use and what the VM
+    grows by, and so does the memory of the C library, which keeps what compiling and short-lived threads have freed, in one pool for each
+    of many threads. Returns the bytes by which the latter shrank; 0 where the VM has no such command."""
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+
+    def array(kind: str, *items: object) -> JavaObject:
+        out = gateway.new_array(getattr(jvm.java.lang, kind), len(items))
+        for i, x in enumerate(items):
+            out[i] = x
+        return out
+
+    try:
+        of = jvm.java.lang.Class.forName
+        name = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand")
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        kinds = array("Class", name.getClass(), of("java.lang.String"), array("Object").getClass(), array("String").getClass())
+        invoke = of("javax.management.MBeanServer").getMethod("invoke", kinds)  # the server's own class is not open to others
+        said = invoke.invoke(server, array("Object", name, "systemTrimNativeHeap", array("Object"), array("String")))
+    except Py4JError:
+        return 0
+    freed = re.search(r"\(-(\d+)([BKMG]?)", said)
+    return int(freed[1]) << "BKMG".index(freed[2] or "B") * 10 if freed else 0
+
+
 class Staged:
     """A frame written once to the shared folder and read back, so that what follows neither repeats the work
     nor depends on an executor's disk. ``drop()`` removes it; what is left goes when the driver ends."""
@@ -39,6 +72,8 @@ class Staged:
         self.path = f"{shared_dir(self.spark)}/ledgerline/{name}-{uuid.uuid4().hex}"
         _staged[self.path] = (self.spark._jvm, self.spark._jsc.hadoopConfiguration())
         df.write.option("maxRecordsPerFile", rows_a_file).parquet(self.path)
+        if next(_written) % GIVE_BACK == 0:
+            give_back(self.spark)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
