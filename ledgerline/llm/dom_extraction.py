@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import random
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from .common import read
 from .dom import Node, parse
 
 PAGES, SEED = 1200, 11
-AT_ONCE = 400
+AT_ONCE, LETTERS_AT_ONCE = 400, 4_000_000  # pages, and their characters; one page is never divided
 STEP_WEIGHT = 0.5  # under 1, since a node's features tell of its surroundings already
 CONTAINER, KEEP, DROP = 0, 1, 2
 
@@ -62,94 +62,125 @@ _NAMES = [re.compile(n, re.I) for n in NAMES]
 _KIND = {tag: i for i, tags in enumerate(KINDS) for tag in tags.split()}
 _WORDS = re.compile(r"[^\W\d_]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
-TOKENS = 64  # places of hashed words of attributes
+TOKENS = 64  # places of hashed words of attributes, one bit each
+CONTROLS = frozenset("button select label".split())
 N_FEATURES = len(KINDS) + 3 * len(NAMES) + TOKENS + 24
 
 
 @lru_cache(maxsize=4096)
-def named(attrs: str) -> tuple[bool, ...]:
+def named(attrs: str) -> int:
+    """A bit for each group of names."""
     spaced = _CAMEL.sub("-", attrs).replace("_", "-")
-    return tuple(bool(n.search(spaced)) for n in _NAMES) if attrs else (False,) * len(NAMES)
+    return sum(1 << i for i, n in enumerate(_NAMES) if n.search(spaced)) if attrs else 0
 
 
 @lru_cache(maxsize=4096)
-def tokens(attrs: str) -> np.ndarray:
-    """The places of the words of an element's attributes."""
-    found = _WORDS.findall(_CAMEL.sub("-", attrs).lower())
-    return np.array(sorted({xxhash.xxh64_intdigest(w) % TOKENS for w in found}), int)
-
-
-def features(nodes: list[Node]) -> np.ndarray:
-    """A row for each node."""
-    n = len(nodes)
-    sums = np.zeros((n, 8))  # text, linked, links, sentence marks, paragraphs, leaves, controls, headings; of the subtree
-    order = np.zeros(n)
-    depth = np.zeros(n, int)
-    before = 0
-    for i, node in enumerate(nodes):
-        text = node.text[0] if node.text else ""
-        sums[i] = (len(text), node.linked, node.links, sum(map(text.count, ".,;!?")), node.tag == "p", bool(text), node.controls + (node.tag in ("button", "select", "label")), node.tag in ("h1", "h2", "h3"))
-        order[i] = before
-        before += len(text)
-        if node.parent >= 0:
-            depth[i] = depth[node.parent] + 1
-    own = sums[:, 0].copy()
+def tokens(attrs: str) -> int:
+    """A bit for each place that a word of an element's attributes has."""
+    return sum(1 << i for i in {xxhash.xxh64_intdigest(w) % TOKENS for w in _WORDS.findall(_CAMEL.sub("-", attrs).lower())})
+
+
+def _bits(numbers: np.ndarray, n: int) -> np.ndarray:
+    """A row for each of the lowest n bits."""
+    return np.unpackbits(numbers.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :n].T
+
+
+def features(*pages: list[Node]) -> np.ndarray:
+    """A row for each node of each page. Nodes come in page order, so that what is in a block follows it without a gap:
+    sums of a subtree are differences of running sums."""
+    flat = [node for nodes in pages for node in nodes]
+    n = len(flat)
+    first = [at for at, nodes in zip(accumulate(map(len, pages), initial=0), pages, strict=False) for _ in nodes]
+    parent = [at + node.parent if node.parent >= 0 else i for i, (at, node) in enumerate(zip(first, flat, strict=True))]  # a page is its own
+    names = [named(node.attrs) for node in flat]
+    depth, within, size = [0] * n, [0] * n, [1] * n
+    for i, p in enumerate(parent):
+        if p < i:
+            depth[i] = depth[p] + 1
+            within[i] = within[p] | names[i]
     for i in range(n - 1, 0, -1):
-        if nodes[i].parent >= 0:
-            sums[nodes[i].parent] += sums[i]
-    total = max(1.0, sums[0, 0])
-    out = np.zeros((n, N_FEATURES), np.float32)
+        if parent[i] < i:
+            size[parent[i]] += size[i]
+    tags = [node.tag for node in flat]
+    texts = [node.text[0] if node.text else "" for node in flat]
+    kind = np.array([_KIND.get(t, 5) for t in tags])
+    numbers = {t: i for i, t in enumerate(set(tags))}
+    root, over, every = np.array(first), np.array(parent), np.arange(n)
+
+    own = np.array([len(t) for t in texts])
+    of_node = np.stack([  # text, linked, links, sentence marks, paragraphs, leaves, controls, headings
+        own, [node.linked for node in flat], [node.links for node in flat],
+        [t.count(".") + t.count(",") + t.count(";") + t.count("!") + t.count("?") if t else 0 for t in texts],
+        [t == "p" for t in tags], own > 0, [node.controls + (node.tag in CONTROLS) for node in flat], [t in ("h1", "h2", "h3") for t in tags],
+    ])
+    running = np.zeros((len(of_node), n + 1), np.int64)
+    np.cumsum(of_node, axis=1, out=running[:, 1:])
+    s = (running[:, every + np.array(size)] - running[:, :-1]).astype(float)  # of the subtree
+    passed = np.cumsum(np.where([t == "#text" for t in tags], own, 2 * own))  # a block that holds its text itself counts as two
+    order = np.concatenate([[0], passed[:-1]])
+    order = order - order[root]
+
+    below = np.flatnonzero(over < every)
+    below = below[np.argsort(over[below], kind="stable")]  # by parent, in page order
+    starts = np.concatenate([[True], over[below][1:] != over[below][:-1]])[: len(below)]
+    along = np.arange(len(below))
+    place, previous, alike, largest = np.zeros(n), np.full(n, -1), np.zeros(n), np.zeros(n)
+    place[below] = along - np.maximum.accumulate(np.where(starts, along, 0))
+    previous[below[1:]] = np.where(starts[1:], -1, kind[below[:-1]])
+    _, which, times = np.unique(over[below] * len(numbers) + np.array([numbers[t] for t in tags])[below], return_inverse=True, return_counts=True)
+    alike[below] = times[which]
+    children = np.bincount(over[below], minlength=n)
+    np.maximum.at(largest, over[below], s[0, below])
+
+    out = np.zeros((N_FEATURES, n), np.float32)
     k, m = len(KINDS), len(NAMES)
-    above = np.zeros((n, m), bool)
-    largest = [max((sums[c, 0] for c in node.children), default=0.0) for node in nodes]
-    place, previous, alike = np.zeros(n, int), np.full(n, -1), np.zeros(n, int)
-    for node in nodes:  # every node is a child once, so this is linear in the page
-        tags = Counter(nodes[c].tag for c in node.children)
-        for at, c in enumerate(node.children):
-            place[c], previous[c], alike[c] = at, node.children[at - 1] if at else -1, tags[nodes[c].tag]
-    for i, node in enumerate(nodes):
-        row, s, p = out[i], sums[i], max(node.parent, 0)
-        kind = _KIND.get(node.tag, 5)
-        row[kind] = 1
-        names = named(node.attrs)
-        row[k : k + m] = names
-        row[k + m : k + 2 * m] = above[p]
-        row[k + 2 * m : k + 3 * m] = named(nodes[p].attrs)
-        above[i] = above[p] | np.array(names)
-        row[k + 3 * m + tokens(node.attrs)] = 1
-        text = max(1.0, s[0])
-        row[k + 3 * m + TOKENS :] = (
-            depth[i], np.log1p(s[0]), np.log1p(own[i]), s[1] / text, np.log1p(s[2]), 100 * s[3] / text, np.log1p(s[4]), np.log1p(s[5]),
-            s[0] / max(1.0, s[5]), s[6], s[7], s[0] / total, s[0] / max(1.0, sums[p, 0]), largest[i] / text, order[i] / total, (order[i] + s[0]) / total,
-            place[i], len(nodes[p].children), alike[i], _KIND.get(nodes[previous[i]].tag, 5) if previous[i] >= 0 else -1,
-            _KIND.get(nodes[p].tag, 5), len(node.children), s[2] * 100 / text, "©" in node.text[0] if node.text else 0,
-        )
-    return out
+    out[kind, every] = 1
+    names = np.array(names)
+    for at, bits in enumerate((names, np.array(within)[over], names[over])):
+        out[k + at * m : k + (at + 1) * m] = _bits(bits, m)
+    out[k + 3 * m : k + 3 * m + TOKENS] = _bits(np.array([tokens(node.attrs) for node in flat], "<u8"), TOKENS)
+    text, total = np.maximum(1.0, s[0]), np.maximum(1.0, s[0, root])
+    out[k + 3 * m + TOKENS :] = (
+        depth, np.log1p(s[0]), np.log1p(own), s[1] / text, np.log1p(s[2]), 100 * s[3] / text, np.log1p(s[4]), np.log1p(s[5]),
+        s[0] / np.maximum(1.0, s[5]), s[6], s[7], s[0] / total, s[0] / np.maximum(1.0, s[0, over]), largest / text, order / total, (order + s[0]) / total,
+        place, children[over], alike, previous,
+        kind[over], children, s[2] * 100 / text, ["©" in t for t in texts],
+    )
+    return out.T
 
 
 def decode(nodes: list[Node], scores: np.ndarray, steps: np.ndarray) -> list[int]:
     """The labels of the most probable consistent labelling. scores: by node, log P(label | features); steps: what a
     label costs below another, the weighted log P(label of a block | label of the block that it is in). Page order
     puts parents first."""
-    may = {CONTAINER: (CONTAINER, KEEP, DROP), KEEP: (KEEP, DROP), DROP: (DROP,)}
-    best = scores.astype(float).copy()  # of the subtree, by label of its root
-    choice = np.zeros((len(nodes), 3), int)
+    best = scores.tolist()  # of the subtree, by label of its root
+    (cc, ck, cd), (_, kk, kd), (_, _, dd) = steps.tolist()
+    choice = [(CONTAINER, DROP)] * len(nodes)  # below a container, below main text
     for i in range(len(nodes) - 1, 0, -1):
-        p = nodes[i].parent
-        if p < 0:
-            continue
-        for label in (CONTAINER, KEEP, DROP):
-            c = max(may[label], key=lambda x: best[i, x] + steps[label, x])
-            choice[i, label] = c
-            best[p, label] += best[i, c] + steps[label, c]
-    labels = [int(best[0].argmax())]
+        container, keep, drop = best[i]
+        above = best[nodes[i].parent]
+        label, most = CONTAINER, container + cc
+        if keep + ck > most:
+            label, most = KEEP, keep + ck
+        if drop + cd > most:
+            label, most = DROP, drop + cd
+        above[CONTAINER] += most
+        if drop + kd > keep + kk:
+            choice[i] = label, DROP
+            above[KEEP] += drop + kd
+        else:
+            choice[i] = label, KEEP
+            above[KEEP] += keep + kk
+        above[DROP] += drop + dd
+    labels = [best[0].index(max(best[0]))]
     for i in range(1, len(nodes)):
-        labels.append(int(choice[i, labels[nodes[i].parent]]) if nodes[i].parent >= 0 else DROP)
+        above = labels[nodes[i].parent]
+        labels.append(DROP if above == DROP else choice[i][above])
     return labels
 
 
 def main_text(nodes: list[Node], labels: list[int]) -> str:
-    return " ".join(t for node, label in zip(nodes, labels, strict=True) if label == KEEP and node.parent != -2 for t in node.text)
+    return " ".join([t for node, label in zip(nodes, labels, strict=True) if label == KEEP for t in node.text])
 
 
 # --- labelled pages -------------------------------------------------------------------------------------------------
@@ -355,22 +386,35 @@ def model() -> Model:
     steps = np.ones((3, 3))
     for i in range(PAGES):
         nodes = parse(Writer(SEED * 100_000 + i).page())
-        live = [j for j, n in enumerate(nodes) if n.parent != -2]
         labels = marks(nodes)
-        for j in live[1:]:
-            steps[labels[nodes[j].parent], labels[j]] += 1
-        xs.append(features(nodes)[live])
-        ys.append(np.array(labels)[live])
-    x, y = np.concatenate(xs), np.concatenate(ys)
+        for node, label in zip(nodes[1:], labels[1:], strict=True):
+            steps[labels[node.parent], label] += 1
+        xs.append(features(nodes))
+        ys.append(np.array(labels))
+    x, y = np.ascontiguousarray(np.concatenate(xs)), np.concatenate(ys)
     return Boosted(3).fit(x, y), STEP_WEIGHT * np.log(steps / steps.sum(axis=1, keepdims=True))
 
 
+def _together(pages: list[str | None]) -> Iterator[list[str | None]]:
+    """The pages in order, some at once."""
+    some: list[str | None] = []
+    letters = 0
+    for html in pages:
+        if some and (len(some) == AT_ONCE or letters + len(html or "") > LETTERS_AT_ONCE):
+            yield some
+            some, letters = [], 0
+        some.append(html)
+        letters += len(html or "")
+    if some:
+        yield some
+
+
 def extract_many(pages: list[str | None], fitted: Model) -> list[str]:
     trees, steps = fitted
     out = []
-    for at in range(0, len(pages), AT_ONCE):
-        parsed = [parse(h) for h in pages[at : at + AT_ONCE]]
-        scores = trees.log_probabilities(np.concatenate([features(n) for n in parsed]))
+    for some in _together(pages):
+        parsed = [parse(h) for h in some]
+        scores = trees.log_probabilities(features(*parsed))
         first = 0
         for nodes in parsed:
             out.append(main_text(nodes, decode(nodes, scores[first : first + len(nodes)], steps)))
